@@ -45,7 +45,12 @@ def profile(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Data
     return (
         counts.withColumn("rank", rank)
         .where(F.col("rank") <= PROFILE_GRAMS)
-        .select("lang", "gram", "rank", (F.lit(PROFILE_GRAMS + 1) - F.col("rank")).alias("weight"))
+        .select(
+            "lang",
+            "gram",
+            F.col("rank").cast("bigint").alias("rank"),
+            (F.lit(PROFILE_GRAMS + 1) - F.col("rank")).cast("bigint").alias("weight"),
+        )
     )
 
 

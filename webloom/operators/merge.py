@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+TEXTS = ["body", "full_body", "headings", "title", "meta_desc", "meta_keywords"]
+
 
 def merge_duplicates(pages: DataFrame) -> DataFrame:
     """Keep one whole page per id: the latest date, ties broken by stable columns.
@@ -17,14 +19,14 @@ def merge_duplicates(pages: DataFrame) -> DataFrame:
         F.desc_nulls_last("date"),
         F.desc_nulls_last("warc_record_id"),
         F.desc_nulls_last("warc_target_uri"),
-        F.desc("body_md5"),
+        F.desc("texts_md5"),
     ]
     rank = F.row_number().over(Window.partitionBy("id").orderBy(*order))
     return (
-        pages.withColumn("body_md5", F.md5("body"))
+        pages.withColumn("texts_md5", F.md5(F.concat_ws("\x1f", *TEXTS)))
         .withColumn("rank", rank)
         .where(F.col("rank") == 1)
-        .drop("rank", "body_md5")
+        .drop("rank", "texts_md5")
     )
 
 

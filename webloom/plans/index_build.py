@@ -76,12 +76,28 @@ def attach_sides(pages: DataFrame, sides: Sides) -> DataFrame:
     )
 
 
+def build_pages(records: DataFrame, model: LanguageModel, uuid_prefix: str) -> DataFrame:
+    """Pages with content, one per id."""
+    return merge.merge_duplicates(extract_pages(records, model, uuid_prefix))
+
+
 def index_documents(inputs: Inputs, model: LanguageModel, uuid_prefix: str) -> DataFrame:
-    """The index documents of one build."""
-    pages = merge.merge_duplicates(extract_pages(inputs.records, model, uuid_prefix))
+    """The index documents of one build.
+
+    Anchor texts beyond the size of one row are in ``anchor_overflow``.
+    """
+    pages = build_pages(inputs.records, model, uuid_prefix)
     return attach_sides(pages, read_sides(inputs, model))
 
 
+def anchor_overflow(documents: DataFrame, sides: Sides) -> DataFrame:
+    """``uuid, lang, anchor, n`` of anchors too many for the row of their document.
+
+    Empty unless the anchors of a document in one language exceed the bound for one array.
+    """
+    return documents.select("id", "uuid").join(sides.anchors.overflow, "id").drop("id")
+
+
 def record_outcomes(records: DataFrame, model: LanguageModel) -> DataFrame:
     """``key, id, status, lang, has_content`` of every input record.
 
