@@ -61,8 +61,8 @@ def character(code: str) -> str:
     )
 
 
-NAMES = "MAP {" + ", ".join(f"{lit(n)}: {lit(chr(c))}" for n, c in name2codepoint.items()) + "}"
-BARE = ", ".join(lit(n) for n in P.bare_entities())
+NAMES = "MAP {" + ", ".join(f"{lit(n)}: {lit(c)}" for n, c in P.entities(name2codepoint).items()) + "}"
+BARE = ", ".join(lit(n) for n in P.bare_names())
 
 
 def entities(s: str) -> str:
@@ -267,7 +267,7 @@ CTES["profile"] = f"""
         301 - row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, gram) AS weight
       FROM (SELECT lang, unnest({grams("n")}) AS gram
             FROM (SELECT lang, {normal("text")} AS n FROM documents WHERE lang IS NOT NULL))
-      GROUP BY lang, gram) WHERE rank <= 300"""
+      WHERE substr(gram, 2, 1) <> ' ' GROUP BY lang, gram) WHERE rank <= 300"""
 SHIFTED = "page_id + CASE WHEN page_id % {} = {} THEN 90000000 ELSE 0 END"
 CTES["spam_lines"] = f"""
     SELECT ((page_id * 7) % 100) || ' ' || {collection_id(SHIFTED.format(4, 3))} AS value FROM pages"""

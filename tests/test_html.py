@@ -1,0 +1,200 @@
+"""HTML functions against hand-written pages and a tree walk over every sample page."""
+
+import html
+import re
+from html.parser import HTMLParser
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import MEDIUM
+from webloom.functions import html as P
+from webloom.operators import content as C
+from webloom.sources import demo
+
+
+@pytest.fixture(scope="module")
+def read(spark):
+    def run(*bodies):
+        df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "i int, body string")
+        df = C.with_head_fields(C.with_texts(C.with_markup(df)))
+        return sorted(df.collect(), key=lambda r: r["i"])
+
+    return run
+
+
+def body(s):
+    return f"<html><head><title>t</title></head><body>{s}</body></html>"
+
+
+FULL_TEXT = {
+    "<p>foo</p>bar": "foobar",
+    "<p>foo<p>bar": "foo bar",
+    "a <b> b</b>": "a  b",
+    "a<br>b<br/>c": "a b c",
+    'text<img alt="pic  one">more': "textpic one more",
+    "text<img alt='pic'>more": "textpic more",
+    "text<img alt=pic>more": "textpic more",
+    "wo<!-- c -->rd": "word",
+    "foo <!-- c --> bar": "foo  bar",
+    "a<script>var t = '</p>';</script>b": "a b",
+    "a<script>never closed": "a",
+    "a<!-- never closed": "a",
+    "a<style>p{}</style>b": "a b",
+    "<!-- <script> -->x<script>y</script>": "x",
+    "<div> <p>x": "x",
+    "x &amp; y &lt;b&gt; &eacute;&copy;&#233;&#xE9;": "x & y <b> é©éé",
+    "&amp;lt;": "&lt;",
+    "&#38;amp;": "&amp;",
+    "fish &amp chips &copy 1": "fish & chips © 1",
+    "&ampersand; &nosuch; &": "&ampersand; &nosuch; &",
+    "&alpha &alpha;": "&alpha α",
+    "&#0; &#1114112; &#xD800; &#1;": "� � � ",
+    "1 < 2 and 3 > 2": "1 < 2 and 3 > 2",
+    "<custom>a</custom>b": "ab",
+    "a\n\t b": "a b",
+    "": "",
+}
+
+
+def test_full_text(read):
+    got = [r["full_body"] for r in read(*map(body, FULL_TEXT))]
+    assert got == [w.strip() for w in FULL_TEXT.values()]
+
+
+def test_pages_without_body_tag(read):
+    got = read(
+        "<title>t</title>just text", "<html><head><title>t</title></head>x<p>y</html>", "  ", "plain"
+    )
+    assert [r["full_body"] for r in got] == ["just text", "x y", "", "plain"]
+
+
+def test_body_tag_inside_script_does_not_count(read):
+    page = "<html><script>'<body>no'</script><body class=x>yes</body></html>"
+    assert read(page)[0]["full_body"] == "yes"
+
+
+def test_paragraphs(read):
+    long = "word " * 12
+    page = body(
+        f"<p>short<p>{long}<br>{long}<div>{long}<img alt='{long}'></div>tail {long}<ul><li>x</ul>"
+    )
+    want = [(long + long).strip(), long.strip(), "tail " + long.strip()]
+    assert read(page)[0]["paragraphs"] == want
+
+
+def test_paragraph_of_fifty_characters(read):
+    got = read(body("<p>" + "x" * 49 + "<p>" + "y" * 50))[0]["paragraphs"]
+    assert got == ["y" * 50]
+
+
+def test_headings(read):
+    page = body("<h2>b <i>i</i></h2><h1> a\n a</h1><h3>c</h3><h4>d</h4><h2 class='x'>e&amp;</h2>")
+    assert read(page)[0]["headings"] == "a ab ie&c"
+
+
+def test_heading_levels_and_separator(spark):
+    page = body("<h1>a</h1><h2>b</h2><h6>f</h6>")
+    df = spark.createDataFrame([(page,)], "body string")
+    clean = P.clean_markup(F.col("body"))
+    for level, want in [(-1, ["a"]), (1, ["a"]), (2, ["a", "b"]), (6, ["a", "b", "f"]), (9, ["a", "b", "f"])]:
+        assert df.select(P.heading_fragments(clean, level)).first()[0] == want
+    joined = C.with_head_fields(C.with_markup(df), heading_separator="\n")
+    assert joined.first()["headings"] == "a\nb"
+
+
+def test_title(read):
+    got = read(
+        "<title> A  &amp; B </title><body>x",
+        "<title></title><body><p>one <b>  two</b><img alt=no><p>three",
+        "<body>no title",
+        "<script><title>no</title></script><title>yes</title>",
+        "<title>" + "word " * 30 + "</title>",
+        "<title>first</title><title>second</title>",
+    )
+    assert [r["title"] for r in got[:4]] == ["A & B", "one two three", "no title", "yes"]
+    assert got[4]["title"] == ("word " * 18).strip()
+    assert got[5]["title"] == "first"
+
+
+def test_meta(read):
+    got = read(
+        "<meta name='description' content=' a  b '><meta name=\"description\" content=\"second\">",
+        "<meta name='Description' content='no'><META CONTENT='yes' NAME=description>",
+        "<meta name='description'><meta name='description' content='next'>",
+        "<meta property='description' content='no'>",
+        "<meta name='description' content='&quot;q&quot;'>",
+        "<meta name='keywords' content='k, l'>",
+        "<meta name='description' content>",
+    )
+    want = ["a b", "yes", "next", "", '"q"', "", ""]
+    assert [r["meta_desc"] for r in got] == want
+    assert got[5]["meta_keywords"] == "k, l"
+
+
+def test_entities_equal_the_standard_library(apply):
+    texts = [f"a&{n};b" for n in P.all_names()] + [f"a&{n} b" for n in P.bare_names()]
+    texts += ["&#169;&#xa9;", "&&amp;&", "x&;y"]
+    assert apply(P.decode_entities, texts) == [html.unescape(t) for t in texts]
+
+
+class Walker(HTMLParser):
+    """Plain tree walk over the text nodes of the body."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.out, self.inside, self.hidden = "", False, False
+        self.heads, self.open = [], None
+        self.metas = {}
+
+    def handle_starttag(self, tag, attrs):
+        values = dict(attrs)
+        if tag == "body":
+            self.inside = True
+            return
+        if tag == "meta" and values.get("name") in ("description", "keywords"):
+            self.metas.setdefault(values["name"], values.get("content"))
+        if self.inside:
+            alt = values.get("alt")
+            if alt is not None:
+                self.out += re.sub(r"[ \t\n\f\r]+", " ", alt)
+            if (tag in P.BLOCK_ELEMENTS or tag == "br" or alt is not None) and self.out:
+                if not self.out.endswith(" "):
+                    self.out += " "
+        self.hidden = tag in ("script", "style")
+        if re.fullmatch("h[123]", tag):
+            self.open = [tag, ""]
+
+    def handle_endtag(self, tag):
+        if tag in ("script", "style"):
+            self.hidden = False
+        if self.open and re.fullmatch("h[1-6]", tag):
+            self.heads.append(tuple(self.open))
+            self.open = None
+
+    def handle_data(self, data):
+        if self.hidden:
+            return
+        if self.open:
+            self.open[1] += data
+        if self.inside:
+            self.out += re.sub(r"[ \t\n\f\r]+", " ", data)
+
+
+def test_all_sample_pages_against_a_tree_walk(spark):
+    fields = demo.record_fields(spark, MEDIUM).select("page_id", "body", F.col("body").alias("raw"))
+    rows = C.with_head_fields(C.with_texts(C.with_markup(fields))).collect()
+    assert len(rows) == 250
+    for r in rows:
+        w = Walker()
+        w.feed(r["raw"])
+        w.close()
+        assert r["full_body"] == w.out.strip(), r["page_id"]
+        heads = "".join(" ".join(t.split()) for _, t in sorted(w.heads, key=lambda h: h[0]))
+        assert r["headings"] == heads
+        assert r["meta_keywords"] == " ".join((w.metas.get("keywords") or "").split())
+
+
+@pytest.mark.parametrize("junk", ["<a" * 200000, "<!--" * 100000, "<h1>" * 100000, "<body " * 80000, "&" * 300000])
+def test_hostile_pages_end_in_time(read, junk):
+    assert len(read(junk)) == 1

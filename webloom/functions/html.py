@@ -4,8 +4,8 @@ A page runs through three forms, each meant to be a materialised column of its o
 
 * ``clean_markup``   blanks collapsed, comments gone, script and style emptied;
 * ``marked_body``    tags gone, their places held by the control characters below;
-* the results        ``full_text``, ``paragraphs``, ``body_text`` from the marked body and
-                     ``title``, ``headings``, ``meta`` from the clean markup.
+* the results        ``full_text``, ``paragraphs``, ``body_text`` from the marked body;
+                     titles, headings and meta tags from the clean markup.
 
 Spark repeats an expression that is used several times inside another one, so the results
 are meant to be cut to length in a later select. Every pattern runs in linear time and uses only syntax shared by Java and RE2. Tags are
@@ -14,7 +14,8 @@ matched as ``<name[^<>]*>``: an angle bracket inside an attribute value ends the
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from collections.abc import Iterable
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column, functions as F
 
@@ -61,9 +62,24 @@ def meta_name_pattern(name: str) -> str:
     return rf"""[\s"'/](?i:name)\s*=\s*(?:"{name}"|'{name}'|{name}[\s/>])"""
 
 
-def bare_entities() -> list[str]:
-    """Names that are understood without a semicolon: Latin-1, plus lt and gt."""
-    return sorted(n for n, c in name2codepoint.items() if c < 256 or n in ("lt", "gt"))
+def entities(names: Iterable[str]) -> dict[str, str]:
+    """Characters of named references, from the standard table."""
+    return {n: html5[n + ";"] for n in names}
+
+
+def all_names() -> list[str]:
+    return [n[:-1] for n in html5 if n.endswith(";")]
+
+
+def bare_names() -> list[str]:
+    """Names that are understood without a semicolon."""
+    return [n for n in html5 if not n.endswith(";")]
+
+
+def _literal_map(pairs: dict[str, str]) -> Column:
+    """One literal, folded to a constant map when the query is optimised."""
+    text = "\x1e".join(f"{k}\x1f{v}" for k, v in pairs.items())
+    return F.str_to_map(F.lit(text), F.lit("\x1e"), F.lit("\x1f"))
 
 
 def _character(code: Column) -> Column:
@@ -80,8 +96,13 @@ def _character(code: Column) -> Column:
 
 def decode_entities(s: Column) -> Column:
     """Resolve character references in one pass over the text between ampersands."""
-    names = F.create_map(*(F.lit(x) for n, c in name2codepoint.items() for x in (n, chr(c))))
-    bare = bare_entities()
+    # a map is searched from its start, so the few hundred common names come first
+    common = _literal_map(entities(name2codepoint))
+    rare = _literal_map(entities(sorted(set(all_names()) - set(name2codepoint))))
+    bare = F.split(F.lit(" ".join(bare_names())), " ")
+
+    def named(ref: Column) -> Column:
+        return F.coalesce(F.try_element_at(common, ref), F.try_element_at(rare, ref))
 
     def resolve(part: Column) -> Column:
         text, ref = part["text"], part["ref"]
@@ -92,7 +113,7 @@ def decode_entities(s: Column) -> Column:
         char = (
             F.when(F.lower(F.left(ref, F.lit(2))) == "#x", _character(hex_code))
             .when(F.left(ref, F.lit(1)) == "#", _character(dec_code))
-            .when(closed | ref.isin(*bare), F.try_element_at(names, ref))
+            .when(closed | F.array_contains(bare, ref), named(ref))
         )
         return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), text))
 
@@ -151,35 +172,36 @@ def paragraphs(marked: Column, min_chars: int = MIN_PARAGRAPH_CHARS) -> Column:
     return F.filter(blocks, lambda b: F.char_length(b) >= min_chars)
 
 
-def _fragment_text(fragment: Column) -> Column:
-    s = F.regexp_replace(fragment, rf"{LINE_BREAK}|{BLOCK}", " ")
-    return squeeze(decode_entities(F.regexp_replace(s, TAG, "")))
-
-
-def headings(clean: Column, max_level: int = HEADING_LEVELS, sep: str = "") -> Column:
-    """Headings h1 to ``h<max_level>``, level by level, each in page order."""
+def heading_fragments(clean: Column, max_level: int = HEADING_LEVELS) -> Column:
+    """Inner markup of h1 to ``h<max_level>``, level by level, each in page order."""
     levels = range(1, min(max(max_level, 1), 6) + 1)
     found = F.concat(
         *(F.regexp_extract_all(clean, F.lit(heading_pattern(n)), F.lit(1)) for n in levels)
     )
-    return F.array_join(F.transform(found, _fragment_text), sep)
+    breaks = rf"{LINE_BREAK}|{BLOCK}"
+    return F.transform(
+        found, lambda h: F.regexp_replace(F.regexp_replace(h, breaks, " "), TAG, "")
+    )
 
 
-def own_title(clean: Column) -> Column:
-    """Text of the first title element, empty when there is none."""
-    return squeeze(decode_entities(F.regexp_extract(clean, TITLE, 1)))
+def raw_title(clean: Column) -> Column:
+    """Source of the first title element, empty when there is none."""
+    return F.regexp_extract(clean, TITLE, 1)
 
 
-def meta(clean: Column, name: str) -> Column:
-    """Content of the first meta tag with exactly this name and a content; else empty."""
+def raw_meta(clean: Column, name: str) -> Column:
+    """Source of the content of the first meta tag with exactly this name and a content."""
     tags = F.filter(
         F.regexp_extract_all(clean, F.lit(META), F.lit(0)),
         lambda t: t.rlike(meta_name_pattern(name)) & t.rlike(META_CONTENT),
     )
-    content = F.transform(
+    contents = F.transform(
         F.slice(tags, 1, 1),
-        lambda t: squeeze(
-            decode_entities(F.concat(*(F.regexp_extract(t, META_CONTENT, g) for g in (1, 2, 3))))
-        ),
+        lambda t: F.concat(*(F.regexp_extract(t, META_CONTENT, g) for g in (1, 2, 3))),
     )
-    return F.coalesce(F.get(content, 0), F.lit(""))
+    return F.coalesce(F.get(contents, 0), F.lit(""))
+
+
+def decoded(fragments: Column) -> Column:
+    """Text of tag-free fragments: entities resolved, blanks squeezed."""
+    return F.transform(fragments, lambda f: squeeze(decode_entities(f)))

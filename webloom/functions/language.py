@@ -34,23 +34,28 @@ def trigrams(normal: Column) -> Column:
 def profile(labelled: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The ``PROFILE_GRAMS`` most frequent trigrams of each language, with their weights.
 
-    Counting combines on the map side and spreads a dominant language over all its
-    trigrams; the rank filter is applied per task before the ranking shuffle.
+    Trigrams stay within one word and its two blanks, so they are counted per distinct word:
+    words merge on the map side first, and only the vocabulary is cut into trigrams. A
+    dominant language spreads over its words, then over its trigrams; the rank filter is
+    applied per task before the ranking shuffle.
     """
-    grams = labelled.where(F.col(lang).isNotNull()).select(
-        F.col(lang).alias("lang"), F.explode(trigrams(normal_form(F.col(text)))).alias("gram")
+    word_list = F.split(F.trim(normal_form(F.col(text))), " ")
+    words = labelled.where(F.col(lang).isNotNull()).select(
+        F.col(lang).alias("lang"), F.explode(word_list).alias("word")
     )
-    counts = grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n"))
+    vocabulary = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    padded = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
+    grams = vocabulary.where(F.col("word") != "").select(
+        "lang", "n", F.explode(trigrams(padded)).alias("gram")
+    )
+    counts = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    return (
-        counts.withColumn("rank", rank)
-        .where(F.col("rank") <= PROFILE_GRAMS)
-        .select(
-            "lang",
-            "gram",
-            F.col("rank").cast("bigint").alias("rank"),
-            (F.lit(PROFILE_GRAMS + 1) - F.col("rank")).cast("bigint").alias("weight"),
-        )
+    ranked = counts.withColumn("rank", rank).where(F.col("rank") <= PROFILE_GRAMS)
+    return ranked.select(
+        "lang",
+        "gram",
+        F.col("rank").cast("bigint").alias("rank"),
+        (F.lit(PROFILE_GRAMS + 1) - F.col("rank")).cast("bigint").alias("weight"),
     )
 
 

@@ -22,11 +22,12 @@ def parse_anchors(lines: DataFrame, id_pattern: str = ANCHOR_ID) -> DataFrame:
 
     The whole line must match, so a line break inside it drops the line.
     """
-    pattern = rf"\A({id_pattern})[ \t\x0B\f\r\n]+([^\n\r\x{{85}}\x{{2028}}\x{{2029}}]*)\z"
-    return lines.where(F.col("value").rlike(pattern)).select(
-        F.regexp_extract("value", pattern, 1).alias("id"),
-        F.regexp_extract("value", pattern, 2).alias("anchor"),
+    line = rf"\A(?:{id_pattern})[ \t\x0B\f\r\n]+.*\z"
+    matched = lines.where(F.col("value").rlike(line)).select(
+        F.regexp_extract("value", rf"\A({id_pattern})\s", 1).alias("id"), "value"
     )
+    rest = F.substr("value", F.char_length("id") + 1)
+    return matched.select("id", F.ltrim(rest, F.lit(" \t\x0b\f\r\n")).alias("anchor"))
 
 
 def cut_anchors(anchors: DataFrame) -> DataFrame:

@@ -71,22 +71,24 @@ def has_content():
     return strip_controls(F.col("main_text")) != ""
 
 
-def with_head_fields(extracted: DataFrame) -> DataFrame:
+def with_head_fields(extracted: DataFrame, heading_separator: str = "") -> DataFrame:
     """Headings, title and meta tags. Each text exists as a column before it is cut."""
     clean = F.col("clean")
-    read = extracted.withColumns(
+    single = F.array(
+        html.raw_title(clean), html.raw_meta(clean, "description"), html.raw_meta(clean, "keywords")
+    )
+    fragments = F.concat(single, html.heading_fragments(clean))
+    read = extracted.withColumn("head", html.decoded(fragments))
+    title, n = F.get("head", 0), F.size("head")
+    named = read.withColumns(
         {
-            "headings": html.headings(clean),
-            "title": html.own_title(clean),
-            "meta_desc": html.meta(clean, "description"),
-            "meta_keywords": html.meta(clean, "keywords"),
+            "title": F.when(title != "", title).otherwise(html.body_text(F.col("marked"))),
+            "meta_desc": F.get("head", 1),
+            "meta_keywords": F.get("head", 2),
+            "headings": F.array_join(F.slice("head", 4, n), heading_separator),
         }
-    )
-    titled = read.withColumn(
-        "title",
-        F.when(F.col("title") != "", F.col("title")).otherwise(html.body_text(F.col("marked"))),
-    )
-    return titled.withColumns(
+    ).drop("head")
+    return named.withColumns(
         {
             "title": truncate_snippet(F.col("title"), S.TITLE_CHARS),
             "meta_desc": truncate_snippet(F.col("meta_desc"), S.META_CHARS),

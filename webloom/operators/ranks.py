@@ -22,7 +22,7 @@ def _ranked(lines: DataFrame, id_at: int, rank_at: int, name: str, kind: str, mo
     rows = parts.select(
         F.try_element_at("parts", F.lit(id_at)).alias("id"), text.try_cast(kind).alias(name)
     )
-    return rows.where(F.col("id").isNotNull() & F.col(name).isNotNull())
+    return rows.where((F.col("id") != "") & F.col(name).isNotNull())
 
 
 def parse_spam(lines: DataFrame, mode: str = "permissive") -> DataFrame:

@@ -39,7 +39,7 @@ def query(run: Query) -> Query:
 @lru_cache(maxsize=8)
 def _fitted(application: str, sf_dir: str) -> LanguageModel:
     spark = SparkSession.getActiveSession()
-    return LanguageModel.fit(demo.table(spark, sf_dir, "documents"))
+    return LanguageModel.fit(demo.documents(spark, sf_dir))
 
 
 def model(spark: SparkSession, sf_dir: str) -> LanguageModel:
@@ -263,7 +263,7 @@ def full_text(spark, sf_dir):
 
 @query
 def lang_profile(spark, sf_dir):
-    return profile(demo.table(spark, sf_dir, "documents"))
+    return profile(demo.documents(spark, sf_dir))
 
 
 @query

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # An Arrow batch holds whole pages of up to 1 MiB, so it is limited by rows.
 PAGES_PER_ARROW_BATCH = 256
@@ -25,6 +25,16 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores on an input with fewer partitions than cores; else leave it alone.
+
+    Text extraction is bound by CPU, so a file that fits one partition is worth a shuffle.
+    Large inputs have more partitions than cores and are never moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a scratch folder only where none is named."""
     context = spark.sparkContext
@@ -46,5 +56,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # no stack walk for each of the many column expressions of a plan
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     return prepare(builder.getOrCreate())

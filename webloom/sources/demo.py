@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from webloom.schema import MAX_RECORD_BYTES
+from webloom.session import spread
 
 UUID_PREFIX = "demo-crawl"
 CONTAINERS = 100
@@ -18,6 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "pages"), "page_id")
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["doc_id", "text", "lang"]
+    return spread(table(spark, sf_dir, "documents").select(*columns), "doc_id")
+
+
 def _digits(n: str, width: int) -> str:
     return f"lpad(cast({n} AS STRING), {width}, '0')"
 
@@ -66,7 +76,7 @@ def record_fields(spark: SparkSession, sf_dir: str, visit: int = 1) -> DataFrame
     """The members of each record before they are packed into an envelope."""
     null = F.lit(None).cast("string")
     body = _edited_html() if visit == 1 else F.col("html")
-    return table(spark, sf_dir, "pages").select(
+    return pages(spark, sf_dir).select(
         "page_id",
         F.when(F.expr("page_id % 7 = 6"), null)
         .otherwise(F.expr(_collection_id("page_id")))
@@ -150,7 +160,7 @@ def page_rank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def anchor_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``<id> <text>`` per document; some ids have another shape or belong to no page."""
     target = _collection_id("(doc_id * doc_id) % 300")
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         F.expr(
             f"""concat(CASE WHEN doc_id % 13 = 12 THEN concat('<urn:uuid:', doc_id, '>')
             ELSE {target} END, ' ', replace(text, chr(10), ' '))"""
