@@ -225,10 +225,25 @@ def test_written_batches_equal_one_build(spark, model, container_folder, tmp_pat
     assert comparable(lazy) == comparable(whole)
 
 
+def test_stored_sides_are_joined_without_a_shuffle(spark, model, crawl):
+    sides = BT.store_sides(spark, B.read_sides(crawl, model))
+    pages = B.build_pages(crawl.records, model, "p")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = B.attach_sides(pages, sides)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert len(joined.collect()) == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("SortMergeJoin") == 3
+    assert plan.count("Exchange") == 1  # the pages, for the duplicate merge
+
+
 def test_anchor_overflow_completes_the_documents(spark, model, crawl):
     pages = B.build_pages(crawl.records, model, "p")
     parsed = A.with_anchor_langs(A.cut_anchors(A.parse_anchors(crawl.anchors)), model)
-    sides = B.Sides(None, None, A.gather_anchors(parsed, inline_bytes=0), None)
+    gathered = A.gather_anchors(parsed, inline_bytes=0)
+    sides = B.Sides(anchors=gathered, anchor_rows=A.anchors_per_document(gathered.inline))
     docs = B.attach_sides(pages, sides)
     assert {r["anchors"] for r in docs.collect()} == {None}
     rest = Counter((r["lang"], r["anchor"], r["n"]) for r in B.anchor_overflow(docs, sides).collect())

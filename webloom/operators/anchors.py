@@ -64,7 +64,10 @@ def gather_anchors(detected: DataFrame, inline_bytes: int = INLINE_BYTES) -> Gat
     collected. Groups beyond ``inline_bytes`` stay flat; their keys are spread over salts so
     that a group holding much of the data is split in the join that singles it out.
     """
-    texts = detected.groupBy("id", "lang", "anchor").agg(F.count(F.lit(1)).alias("n"))
+    # the join below implies these tests on one of its sides; made here, they keep the two
+    # sides alike, and Spark then runs the exchange under both of them once
+    known = detected.where(F.col("id").isNotNull() & F.col("lang").isNotNull())
+    texts = known.groupBy("id", "lang", "anchor").agg(F.count(F.lit(1)).alias("n"))
     sizes = texts.groupBy("id", "lang").agg(
         F.sum((F.octet_length("anchor") + 16) * F.col("n")).alias("bytes")
     )

@@ -9,7 +9,6 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 
 from webloom.functions.language import LanguageModel
-from webloom.operators.anchors import GatheredAnchors
 from webloom.plans import index_build as B
 from webloom.session import checkpoint_dir
 from webloom.sinks import documents as D
@@ -46,26 +45,31 @@ def store_sides(spark: SparkSession, sides: B.Sides) -> B.Sides:
     """Write the prepared side inputs once, to be read by every batch.
 
     They go to the shared checkpoint folder, so batches survive the loss of executors
-    without parsing the side inputs again.
+    without parsing the side inputs again. Inputs joined by id are bucketed by it, into as
+    many buckets as a shuffle has partitions: no batch has to shuffle or sort them.
     """
-    folder = f"{checkpoint_dir(spark).rstrip('/')}/sides-{uuid.uuid4()}"
+    run = f"webloom_sides_{uuid.uuid4().hex}"
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/{run}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def stored(frame: DataFrame | None, name: str) -> DataFrame | None:
+    def bucketed(frame: DataFrame | None, name: str) -> DataFrame | None:
         if frame is None:
             return None
-        frame.write.parquet(f"{folder}/{name}")
-        return spark.read.parquet(f"{folder}/{name}")
-
-    anchors = sides.anchors
-    if anchors is not None:
-        anchors = GatheredAnchors(
-            stored(anchors.inline, "anchors"), stored(anchors.overflow, "anchor_overflow")
-        )
+        # one task per bucket, so that each bucket is one sorted file
+        writer = frame.repartition(buckets, "id").write.bucketBy(buckets, "id").sortBy("id")
+        writer.option("path", f"{folder}/{name}").saveAsTable(f"{run}_{name}")
+        return spark.table(f"{run}_{name}")
+
+    per_document, overflow = sides.anchor_rows, None
+    if sides.anchors is not None:
+        sides.anchors.overflow.write.parquet(f"{folder}/overflow")
+        overflow = spark.read.parquet(f"{folder}/overflow")
     return replace(
         sides,
-        spam=stored(sides.spam, "spam"),
-        page_ranks=stored(sides.page_ranks, "page_ranks"),
-        anchors=anchors,
+        spam=bucketed(sides.spam, "spam"),
+        page_ranks=bucketed(sides.page_ranks, "page_ranks"),
+        anchors=sides.anchors and replace(sides.anchors, overflow=overflow),
+        anchor_rows=bucketed(per_document, "anchors"),
     )
 
 

@@ -23,12 +23,16 @@ class Inputs:
 
 @dataclass(frozen=True)
 class Sides:
-    """Parsed side inputs, unique on ``id``, and the ids they mention."""
+    """Parsed side inputs and the ids they mention.
 
-    spam: DataFrame | None
-    page_ranks: DataFrame | None
-    anchors: A.GatheredAnchors | None
-    anchor_ids: DataFrame | None
+    ``spam``, ``page_ranks`` and ``anchor_rows`` are unique on ``id``.
+    """
+
+    spam: DataFrame | None = None
+    page_ranks: DataFrame | None = None
+    anchors: A.GatheredAnchors | None = None
+    anchor_rows: DataFrame | None = None
+    anchor_ids: DataFrame | None = None
 
     @property
     def id_frames(self) -> list[DataFrame | None]:
@@ -37,7 +41,7 @@ class Sides:
 
 def read_sides(inputs: Inputs, model: LanguageModel, mode: str = "permissive") -> Sides:
     """Parse the side inputs. Every step before the grouping by id is narrow."""
-    spam = pr = gathered = anchor_ids = None
+    spam = pr = gathered = rows = anchor_ids = None
     if inputs.spam is not None:
         spam = ranks.highest(ranks.parse_spam(inputs.spam, mode))
     if inputs.page_ranks is not None:
@@ -46,7 +50,8 @@ def read_sides(inputs: Inputs, model: LanguageModel, mode: str = "permissive") -
         parsed = A.parse_anchors(inputs.anchors)
         anchor_ids = parsed.select("id")
         gathered = A.gather_anchors(A.with_anchor_langs(A.cut_anchors(parsed), model))
-    return Sides(spam, pr, gathered, anchor_ids)
+        rows = A.anchors_per_document(gathered.inline)
+    return Sides(spam, pr, gathered, rows, anchor_ids)
 
 
 def extract_pages(records: DataFrame, model: LanguageModel, uuid_prefix: str) -> DataFrame:
@@ -68,11 +73,10 @@ def attach_sides(pages: DataFrame, sides: Sides) -> DataFrame:
     Pages arrive hash-partitioned by id from the duplicate merge and every side is unique on
     id, so the joins reuse that partitioning: the page texts cross the network once.
     """
-    per_doc = None if sides.anchors is None else A.anchors_per_document(sides.anchors.inline)
     joined = merge.join_side(pages, sides.spam, "spam_rank", "bigint")
     joined = merge.join_side(joined, sides.page_ranks, "page_rank", "float")
     return merge.join_side(
-        joined, per_doc, "anchors", "array<struct<lang:string,texts:array<string>>>"
+        joined, sides.anchor_rows, "anchors", "array<struct<lang:string,texts:array<string>>>"
     )
 
 
