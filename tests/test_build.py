@@ -152,6 +152,16 @@ def test_spread_leaves_large_inputs_alone(spark):
     assert spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == 8
 
 
+def test_counters_of_a_running_write_equal_the_counting_query(spark, model, crawl, tmp_path):
+    for inputs in (crawl, catalog.inputs(spark, SMALL)):
+        want = {r["counter"]: r["value"] for r in B.job_counters(inputs, model).collect()}
+        sides = B.read_sides(inputs, model)
+        watch = B.Watch()
+        built = B.attach_sides(B.build_pages(inputs.records, model, "p", watch), sides)
+        watch.finish(built).write.format("noop").mode("overwrite").save()
+        assert watch.counters(B.orphan_count(built, sides)) == want
+
+
 # ---- batches -----------------------------------------------------------------------------
 
 
@@ -199,7 +209,7 @@ def test_containers(spark, container_folder, tmp_path):
     assert sorted(map(tuple, read.collect())) == rows
     half = containers.read_records(spark, folder, containers.Batch(2, 2, 4))
     assert sorted(map(tuple, half.collect())) == [r for r in rows if int(r[0]) % 4 >= 2]
-    containers.to_parquet(spark, folder, str(tmp_path / "p"), 4)
+    containers.to_parquet(spark, folder, str(tmp_path / "p"), containers.Batch(partitions=4))
     converted = spark.read.parquet(str(tmp_path / "p"))
     batch = converted.where(containers.Batch(2, 2, 4).contains(F.col("container")))
     assert sorted(map(tuple, batch.select("key", "value").collect())) == sorted(map(tuple, half.collect()))
@@ -216,8 +226,11 @@ def test_written_batches_equal_one_build(spark, model, container_folder, tmp_pat
     slices = BT.batches(2, 4)
     out = str(tmp_path / "index")
     records_of = lambda b: containers.read_records(spark, folder, b)
+    want = {r["counter"]: r["value"] for r in B.job_counters(inputs, model).collect()}
     for _ in range(2):  # a repeated run changes nothing
-        BT.write_all(records_of, inputs, model, "p", slices, out)
+        reports = BT.write_all(records_of, inputs, model, "p", slices, out)
+        for counter in set(want) - {"NO_CONTENT"}:
+            assert sum(r[counter] for r in reports) == want[counter], counter
         stored = D.read_latest(spark, f"{out}/documents")
         whole = B.index_documents(inputs, model, "p")
         assert comparable(stored.select(whole.columns)) == comparable(whole)

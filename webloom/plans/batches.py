@@ -60,7 +60,8 @@ def store_sides(spark: SparkSession, sides: B.Sides) -> B.Sides:
         writer.option("path", f"{folder}/{name}").saveAsTable(f"{run}_{name}")
         return spark.table(f"{run}_{name}")
 
-    per_document, overflow = sides.anchor_rows, None
+    ids = None if sides.anchor_ids is None else sides.anchor_ids.distinct()
+    overflow = None
     if sides.anchors is not None:
         sides.anchors.overflow.write.parquet(f"{folder}/overflow")
         overflow = spark.read.parquet(f"{folder}/overflow")
@@ -69,7 +70,8 @@ def store_sides(spark: SparkSession, sides: B.Sides) -> B.Sides:
         spam=bucketed(sides.spam, "spam"),
         page_ranks=bucketed(sides.page_ranks, "page_ranks"),
         anchors=sides.anchors and replace(sides.anchors, overflow=overflow),
-        anchor_rows=bucketed(per_document, "anchors"),
+        anchor_rows=bucketed(sides.anchor_rows, "anchors"),
+        anchor_ids=bucketed(ids, "anchor_ids"),
     )
 
 
@@ -80,18 +82,23 @@ def write_all(
     uuid_prefix: str,
     slices: list[Batch],
     path: str,
-) -> None:
+) -> list[dict[str, int]]:
     """Run the batches one after the other; read the result with ``read_latest``.
 
     Documents go to ``<path>/documents``, anchors beyond the row bound to
-    ``<path>/anchor_overflow``, one generation per batch in both.
+    ``<path>/anchor_overflow``, one generation per batch in both. Returns the counters of
+    each batch, counted while its documents were written.
     """
     spark = inputs.records.sparkSession
     sides = store_sides(spark, B.read_sides(inputs, model))
+    reports = []
     for b in slices:
-        built = B.attach_sides(B.build_pages(records_of(b), model, uuid_prefix), sides)
-        D.write_generation(built, f"{path}/documents", b.number)
+        watch = B.Watch()
+        pages = B.build_pages(records_of(b), model, uuid_prefix, watch)
+        D.write_generation(watch.finish(B.attach_sides(pages, sides)), f"{path}/documents", b.number)
+        written = spark.read.parquet(f"{path}/documents/generation={b.number}")
         if sides.anchors is not None:
-            written = spark.read.parquet(f"{path}/documents/generation={b.number}")
             overflow = B.anchor_overflow(written, sides)
             D.write_generation(overflow, f"{path}/anchor_overflow", b.number)
+        reports.append(watch.counters(B.orphan_count(written, sides)))
+    return reports

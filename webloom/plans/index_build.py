@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from webloom import schema as S
 from webloom.functions.language import LanguageModel
@@ -35,8 +35,8 @@ class Sides:
     anchor_ids: DataFrame | None = None
 
     @property
-    def id_frames(self) -> list[DataFrame | None]:
-        return [self.spam, self.page_ranks, self.anchor_ids]
+    def id_frames(self) -> list[DataFrame]:
+        return [f for f in (self.spam, self.page_ranks, self.anchor_ids) if f is not None]
 
 
 def read_sides(inputs: Inputs, model: LanguageModel, mode: str = "permissive") -> Sides:
@@ -54,14 +54,60 @@ def read_sides(inputs: Inputs, model: LanguageModel, mode: str = "permissive") -
     return Sides(spam, pr, gathered, rows, anchor_ids)
 
 
-def extract_pages(records: DataFrame, model: LanguageModel, uuid_prefix: str) -> DataFrame:
+class Watch:
+    """Counts the outcomes of a build while its documents are written.
+
+    Attach it to one build, run one write, then read ``counters``. The records are not read
+    a second time for their counts. Rows of a stage that Spark has to run again, because an
+    executor was lost, count again; ``job_counters`` is exact in that case too.
+    """
+
+    def __init__(self) -> None:
+        self._records, self._texts, self._documents = (Observation() for _ in range(3))
+
+    def records(self, classified: DataFrame) -> DataFrame:
+        status = F.col("status")
+        names = [n for n, s in S.STATUS_COUNTERS.items() if s not in (S.TOO_SMALL, S.RECORD)]
+        counts = [F.count_if(status == S.STATUS_COUNTERS[n]).alias(n) for n in names]
+        total = F.count(F.lit(1)).alias(S.TOTAL_RECORDS)
+        return classified.observe(self._records, total, *counts)
+
+    def texts(self, extracted: DataFrame) -> DataFrame:
+        return extracted.observe(
+            self._texts,
+            F.count_if(F.col("lang") == S.UNKNOWN_LANG).alias(S.LANGDETECT_FAILED),
+            F.count_if(content.is_too_small()).alias("SKIPPED_RECORDS_TOO_SMALL"),
+            F.count_if(~content.is_too_small()).alias("RECORDS"),
+        )
+
+    def finish(self, documents: DataFrame) -> DataFrame:
+        return documents.observe(self._documents, F.count(F.lit(1)).alias(S.GENERATED_DOCS))
+
+    def counters(self, orphans: int) -> dict[str, int]:
+        """All counters, once the write is done."""
+        seen = {**self._records.get, **self._texts.get, **self._documents.get}
+        return {**seen, S.HTML_PARSE_ERRORS: 0, S.NO_CONTENT: orphans}
+
+
+def orphan_count(documents: DataFrame, sides: Sides) -> int:
+    """Ids known to a side input only; main text is never blank, so no other id lacks content."""
+    return merge.orphan_ids(documents, *sides.id_frames).count() if sides.id_frames else 0
+
+
+def extract_pages(
+    records: DataFrame, model: LanguageModel, uuid_prefix: str, watch: Watch | None = None
+) -> DataFrame:
     """One row per record that becomes a page with content; a single narrow stage.
 
     The cheap record filters run before the markup is touched, the main-text filters before
     headings, title and meta tags are read.
     """
-    keyed = R.with_ids(R.passed(R.classify(R.parse_envelope(records))), uuid_prefix)
-    extracted = content.extract_text(keyed, model)
+    classified = R.classify(R.parse_envelope(records))
+    if watch is not None:
+        classified = watch.records(classified)
+    extracted = content.extract_text(R.with_ids(R.passed(classified), uuid_prefix), model)
+    if watch is not None:
+        extracted = watch.texts(extracted)
     return content.with_page_fields(
         extracted.where(~content.is_too_small() & content.has_content())
     )
@@ -80,9 +126,11 @@ def attach_sides(pages: DataFrame, sides: Sides) -> DataFrame:
     )
 
 
-def build_pages(records: DataFrame, model: LanguageModel, uuid_prefix: str) -> DataFrame:
+def build_pages(
+    records: DataFrame, model: LanguageModel, uuid_prefix: str, watch: Watch | None = None
+) -> DataFrame:
     """Pages with content, one per id."""
-    return merge.merge_duplicates(extract_pages(records, model, uuid_prefix))
+    return merge.merge_duplicates(extract_pages(records, model, uuid_prefix, watch))
 
 
 def index_documents(inputs: Inputs, model: LanguageModel, uuid_prefix: str) -> DataFrame:

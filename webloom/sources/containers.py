@@ -70,17 +70,20 @@ def read_records(spark: SparkSession, folder: str, batch: Batch = Batch()) -> Da
     return spark.createDataFrame(pairs, RECORDS_DDL)
 
 
-def to_parquet(spark: SparkSession, folder: str, target: str, partitions: int) -> None:
-    """Convert containers to Parquet partitioned by container number.
+def to_parquet(spark: SparkSession, folder: str, target: str, batch: Batch = Batch()) -> None:
+    """Convert containers to Parquet partitioned by container number, as one job.
 
     A batch then becomes a partition filter, ``Batch.contains(col("container"))``, that
-    prunes folders, and the pages never enter Python to be read. Each container is appended
-    to its own folder, so its number is known without looking into the files.
+    prunes folders, and the pages never enter Python to be read. No rows are shuffled: a
+    task reads a part of one container and writes to the folder of that container.
     """
-    for i in range(partitions):
-        one = spark.sparkContext.sequenceFile(
-            f"{folder.rstrip('/')}/{CONTAINER.format(i)}", TEXT_CLASS, TEXT_CLASS
-        )
-        spark.createDataFrame(one, RECORDS_DDL).write.mode("overwrite").parquet(
-            f"{target.rstrip('/')}/container={i}"
-        )
+    context = spark.sparkContext
+
+    def container(i: int):
+        path = f"{folder.rstrip('/')}/{CONTAINER.format(i)}"
+        pairs = context.sequenceFile(path, TEXT_CLASS, TEXT_CLASS)
+        return pairs.map(lambda pair: (i, *pair))
+
+    rows = context.union([container(i) for i in range(*batch.bounds)])
+    frame = spark.createDataFrame(rows, f"container INT, {RECORDS_DDL}")
+    frame.write.mode("overwrite").partitionBy("container").parquet(target)
