@@ -40,11 +40,13 @@ def test_texts_without_letters_are_unknown(spark, model):
     assert {r[0] for r in df.select(model.detect(F.col("t"))).collect()} == {UNKNOWN_LANG}
 
 
-def test_slices_do_not_change_results(model, monkeypatch):
-    texts = [" the of and ", " der die und ", " ", " le la les "] * 5
+@pytest.mark.parametrize("bound", ["_SLICE_CHARS", "_SLICE_CELLS", "_DENSE_CELLS"])
+def test_array_bounds_do_not_change_results(model, monkeypatch, bound):
+    texts = ["the of and", "der die und", " ", "", "le la les", "x\0the", "ñandú 日本 the"] * 5
     whole = model.best(texts)
-    monkeypatch.setattr("webloom.functions.language._SLICE_CHARS", 10)
-    assert model._best_in_slices(texts) == whole
+    single = [model.best([t])[0] for t in texts]
+    monkeypatch.setattr(f"webloom.functions.language.{bound}", 10)
+    assert model.best(texts) == whole == single
 
 
 def test_held_out_accuracy(spark):
@@ -57,12 +59,12 @@ def test_held_out_accuracy(spark):
 
 def test_ties_go_to_the_first_code(spark):
     df = spark.createDataFrame([("xx", "abc"), ("aa", "abc")], "lang string, text string")
-    assert LanguageModel.fit(df).best([" abc "]) == ["aa"]
+    assert LanguageModel.fit(df).best(["abc"]) == ["aa"]
 
 
 def test_empty_model(spark):
     empty = spark.createDataFrame([], "lang string, text string")
-    assert LanguageModel.fit(empty).best([" abc "]) == [UNKNOWN_LANG]
+    assert LanguageModel.fit(empty).best(["abc"]) == [UNKNOWN_LANG]
 
 
 def test_profile_size_is_checked(spark, monkeypatch):

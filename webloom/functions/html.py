@@ -144,32 +144,47 @@ def marked_body(clean: Column) -> Column:
     return F.regexp_replace(s, TAG, "")
 
 
+def _without(s: Column, *markers: str) -> Column:
+    for m in markers:
+        s = F.replace(s, F.lit(m), F.lit(""))
+    return s
+
+
 def full_text(marked: Column) -> Column:
     """All text of the body with alt texts; one blank before each block.
 
     Double blanks are legal: each run of text keeps its own collapsed blanks.
     """
-    s = F.replace(marked, F.lit(f"{OPEN}/{CLOSE}"), F.lit(""))
-    s = F.translate(s, ALT_END + BREAK + CLOSE + ALT_START, OPEN * 2)
-    return strip_controls(F.regexp_replace(s, f" ?{OPEN}+", " "))
+    s = _without(marked, f"{OPEN}/{CLOSE}", ALT_START)
+    spaces = f" ?[{OPEN}{ALT_END}{BREAK}][{OPEN}{CLOSE}{ALT_END}{BREAK}]*"
+    return strip_controls(F.regexp_replace(s, spaces, " "))
 
 
 def _without_alt(marked: Column) -> Column:
     return F.regexp_replace(marked, f"{ALT_START}[^{ALT_END}]*{ALT_END}", "")
 
 
+def _single_blanks(s: Column) -> Column:
+    """``squeeze`` for text of a marked body, which has no white space but blanks."""
+    return strip_controls(F.regexp_replace(s, "  +", " "))
+
+
 def body_text(marked: Column) -> Column:
     """Body text without alt texts and double blanks: the stand-in for a missing title."""
-    s = F.replace(_without_alt(marked), F.lit(f"{OPEN}/{CLOSE}"), F.lit(""))
-    s = F.regexp_replace(F.translate(s, OPEN + CLOSE + BREAK, "   "), " +", " ")
-    return strip_controls(s)
+    s = _without(_without_alt(marked), f"{OPEN}/{CLOSE}")
+    return strip_controls(F.regexp_replace(s, f"[ {OPEN}{CLOSE}{BREAK}]+", " "))
 
 
 def paragraphs(marked: Column, min_chars: int = MIN_PARAGRAPH_CHARS) -> Column:
     """Text blocks of at least ``min_chars`` characters, in page order, without alt texts."""
-    s = F.translate(_without_alt(marked), BREAK, " ")
-    blocks = F.transform(F.split(s, f"{OPEN}/?{CLOSE}"), squeeze)
-    return F.filter(blocks, lambda b: F.char_length(b) >= min_chars)
+    s = F.replace(_without_alt(marked), F.lit(BREAK), F.lit(" "))
+
+    def long_enough(b: Column) -> Column:
+        return F.char_length(b) >= min_chars
+
+    # most blocks are short as they are and need no cleaning
+    candidates = F.filter(F.split(s, f"{OPEN}/?{CLOSE}"), long_enough)
+    return F.filter(F.transform(candidates, _single_blanks), long_enough)
 
 
 def heading_fragments(clean: Column, max_level: int = HEADING_LEVELS) -> Column:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import sys
+import unicodedata
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +17,10 @@ from webloom.schema import UNKNOWN_LANG
 PROFILE_GRAMS = 300
 # Language codes are a closed vocabulary; more than this means the label column is wrong.
 MAX_LANGUAGES = 1000
-_CODE_BITS = 21  # enough for any code point
-_SLICE_CHARS = 1 << 20
+# Bounds of the arrays used while scoring.
+_SLICE_CHARS = 1 << 18
+_SLICE_CELLS = 1 << 22
+_DENSE_CELLS = 1 << 22
 
 
 def normal_form(text: Column) -> Column:
@@ -59,23 +63,38 @@ def profile(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Data
     )
 
 
-def _code_points(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+# Ids of characters while scoring; the letters of a profile follow.
+_OTHER_LETTER, _BLANK, _FIRST_LETTER = 0, 1, 2
 
 
-def _gram_codes(points: np.ndarray) -> np.ndarray:
-    return (points[:-2] << (2 * _CODE_BITS)) | (points[1:-1] << _CODE_BITS) | points[2:]
+def _alphabet(letters: list[str]) -> np.ndarray:
+    """Character id per code point. Everything that is no letter or mark is a blank."""
+    ids = np.fromiter(
+        (
+            _OTHER_LETTER if unicodedata.category(chr(c))[0] in "LM" else _BLANK
+            for c in range(sys.maxunicode + 1)
+        ),
+        dtype=np.int32,
+    )
+    for i, letter in enumerate(letters):
+        ids[ord(letter)] = _FIRST_LETTER + i
+    return ids
 
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """A fitted profile: sorted trigram codes, each pointing at its (language, weight) pairs."""
+    """A fitted profile, laid out for scoring.
+
+    ``alphabet``  character id per code point
+    ``grams``     sorted trigram numbers, formed from three character ids
+    ``weights``   one row per trigram, one column per language
+    """
 
     langs: tuple[str, ...]
-    codes: np.ndarray
-    starts: np.ndarray
-    entry_lang: np.ndarray
-    entry_weight: np.ndarray
+    alphabet: np.ndarray
+    size: int
+    grams: np.ndarray
+    weights: np.ndarray
 
     @classmethod
     def fit(cls, labelled: DataFrame, text: str = "text", lang: str = "lang") -> "LanguageModel":
@@ -89,77 +108,93 @@ class LanguageModel:
         if len(table) > bound:
             raise ValueError(f"language profile has more than {bound} rows")
         langs = sorted(table["lang"].unique())
-        table["code"] = [int(_gram_codes(_code_points(g))[0]) for g in table["gram"]]
-        table = table.sort_values(["code", "lang"])
-        codes, starts = np.unique(table["code"].to_numpy(np.int64), return_index=True)
-        return cls(
-            langs=tuple(langs),
-            codes=codes,
-            starts=np.append(starts, len(table)),
-            entry_lang=np.searchsorted(langs, table["lang"].tolist()).astype(np.int64),
-            entry_weight=table["weight"].to_numpy(np.int64),
-        )
+        letters = sorted(set("".join(table["gram"])) - {" "})
+        alphabet, size = _alphabet(letters), _FIRST_LETTER + len(letters)
+        ids = alphabet[[[ord(c) for c in g] for g in table["gram"]] or np.empty((0, 3), int)]
+        numbers = (ids.astype(np.int64) @ [size * size, size, 1]).astype(np.int64)
+        grams, row = np.unique(numbers, return_inverse=True)
+        weights = np.zeros((len(grams), len(langs)))
+        weights[row, np.searchsorted(langs, table["lang"].tolist())] = table["weight"]
+        return cls(tuple(langs), alphabet, size, grams, weights)
+
+    @cached_property
+    def _direct(self) -> np.ndarray:
+        """Row in ``grams`` by trigram number, for alphabets small enough."""
+        direct = np.full(self.size**3, -1, dtype=np.int32)
+        direct[self.grams] = np.arange(len(self.grams))
+        return direct
+
+    def _gram_rows(self, ids: np.ndarray) -> np.ndarray:
+        """Row of each trigram in ``grams``, -1 for a trigram outside the profile."""
+        ids = ids.astype(np.int64) if self.size**3 > np.iinfo(np.int32).max else ids
+        numbers = (ids[:-2] * self.size + ids[1:-1]) * self.size + ids[2:]
+        if self.size**3 <= _DENSE_CELLS:
+            return self._direct[numbers]
+        row = np.minimum(np.searchsorted(self.grams, numbers), len(self.grams) - 1)
+        return np.where(self.grams[row] == numbers, row, -1)
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        """Sum of trigram weights per text and language, all texts in one pass.
+        """Sum of trigram weights per text and language, for lower-case texts.
 
-        Texts are joined by NUL, which occurs in no trigram of the profile, so no match
-        crosses from one text into the next.
+        All texts run through as one sequence of character ids: each with a blank at either
+        end, runs of blanks made one, and a letter of no trigram between two texts.
         """
-        points = _code_points("\0".join(texts))
-        ends = np.cumsum([len(t) + 1 for t in texts])
-        grams = _gram_codes(points)
-        slot = np.searchsorted(self.codes, grams)
-        slot[slot == len(self.codes)] = 0
-        hit = np.flatnonzero(self.codes[slot] == grams)
-        slot = slot[hit]
-        fan = self.starts[slot + 1] - self.starts[slot]
-        entry = np.repeat(self.starts[slot] - np.cumsum(fan) + fan, fan) + np.arange(fan.sum())
-        row = np.repeat(np.searchsorted(ends, hit, side="right"), fan)
-        cell = row * len(self.langs) + self.entry_lang[entry]
-        total = np.bincount(cell, self.entry_weight[entry], len(texts) * len(self.langs))
-        return total.reshape(len(texts), len(self.langs))
-
-    def best(self, texts: list[str]) -> list[str]:
-        """Highest score wins, ties go to the first code; no match means unknown."""
-        if not texts or not self.langs:
-            return [UNKNOWN_LANG] * len(texts)
+        sizes = np.array([len(t) + 3 for t in texts])
+        joined = " " + "   ".join(texts) + "  "
+        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        ids = self.alphabet[points]
+        ids[np.cumsum(sizes) - 1] = _OTHER_LETTER
+        kept = np.ones(len(ids), dtype=bool)
+        kept[1:] = (ids[1:] != _BLANK) | (ids[:-1] != _BLANK)
+        rows = self._gram_rows(ids[kept])
+        owner = np.repeat(np.arange(len(texts)), sizes)[kept][: len(rows)]
+        hit = rows >= 0
+        width = len(self.grams)
+        counts = np.bincount(owner[hit] * width + rows[hit], minlength=len(texts) * width)
+        return counts.reshape(len(texts), width) @ self.weights
+
+    def _best_of(self, texts: list[str]) -> list[str]:
         scores = self.scores(texts)
         names = np.array(self.langs, dtype=object)[scores.argmax(axis=1)]
         names[scores.max(axis=1) == 0] = UNKNOWN_LANG
         return names.tolist()
 
-    def _best_in_slices(self, texts: list[str]) -> list[str]:
-        """Bound the working arrays: score about ``_SLICE_CHARS`` characters at a time."""
+    def best(self, texts: list[str]) -> list[str]:
+        """Highest score wins, ties go to the first code; no match means unknown.
+
+        Works on slices, so that the arrays of one step stay small.
+        """
+        if not self.langs:
+            return [UNKNOWN_LANG] * len(texts)
+        most = max(1, _SLICE_CELLS // len(self.grams))
         found, batch, size = [], [], 0
         for t in texts:
             batch.append(t)
-            size += len(t) + 1
-            if size >= _SLICE_CHARS:
-                found += self.best(batch)
+            size += len(t) + 3
+            if size >= _SLICE_CHARS or len(batch) == most:
+                found += self._best_of(batch)
                 batch, size = [], 0
-        return found + self.best(batch)
+        return found + self._best_of(batch) if batch else found
 
     def detect_each(self, texts: Column) -> Column:
-        """Languages of an ARRAY<STRING> of texts in normal form, one per element."""
+        """Languages of an ARRAY<STRING> of texts, one per element."""
         model = self
 
         @F.arrow_udf("array<string>")
         def languages(batch: pa.Array) -> pa.Array:
-            flat = batch.flatten().to_pylist()
             sizes = batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            found = pa.array(model._best_in_slices(flat), pa.string())
+            found = pa.array(model.best(batch.flatten().to_pylist()), pa.string())
             return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), found)
 
         # Scoring is deterministic. Declared otherwise, it keeps filters on its result from
         # being copied below it, where they would run the whole text extraction again.
-        return languages.asNondeterministic()(texts)
+        scored = languages.asNondeterministic()
+        return scored(F.transform(texts, lambda t: F.lower(F.coalesce(t, F.lit("")))))
 
     def detect(self, text: Column) -> Column:
         """Language of a raw text; NULL and texts without a known trigram are unknown."""
-        normal = normal_form(F.coalesce(text, F.lit("")))
-        return F.element_at(self.detect_each(F.array(normal)), 1)
+        return F.element_at(self.detect_each(F.array(text)), 1)
 
 
 # Ship this module inside its UDF, so that executors need no copy of the package.

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from webloom import schema as S
 from webloom.functions import html
-from webloom.functions.language import LanguageModel, normal_form
+from webloom.functions.language import LanguageModel
 from webloom.functions.text import strip_controls, truncate_snippet
 
 
@@ -33,10 +33,8 @@ def with_languages(texts: DataFrame, model: LanguageModel) -> DataFrame:
     The page and its paragraphs are scored where they are. Nothing is exploded, so page
     bodies do not have to be joined back to their languages.
     """
-    normals = F.concat(
-        F.array(normal_form(F.col("full_body"))), F.transform("paragraphs", normal_form)
-    )
-    found = texts.withColumn("langs", model.detect_each(normals))
+    every_text = F.concat(F.array("full_body"), F.col("paragraphs"))
+    found = texts.withColumn("langs", model.detect_each(every_text))
     return found.withColumns(
         {
             "lang": F.get("langs", 0),
