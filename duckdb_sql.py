@@ -241,8 +241,11 @@ def declare_crawl(v: int, z: str) -> None:
     stripped = f"replace({plain}, {lit(P.OPEN + '/' + P.CLOSE)}, '')"
     spaced = f"translate({stripped}, {lit(P.OPEN + P.CLOSE + P.BREAK)}, '   ')"
     own = squeeze(entities(f"regexp_extract(clean, {lit(P.TITLE)}, 1)"))
+    cut = f"string_split({sub('clean', P.HEADING, f'{P.OPEN}{chr(92)}1{chr(92)}2{P.CLOSE}')}, {lit(P.OPEN)})"
     heads = ", ".join(
-        f"regexp_extract_all(clean, {lit(P.heading_pattern(n))}, 1)" for n in (1, 2, 3)
+        f"list_transform(list_filter({cut}, lambda p: substr(p, 1, 2) = {lit(f'{n}{P.CLOSE}')}), "
+        f"lambda p: substr(p, 3))"
+        for n in (1, 2, 3)
     )
     CTES[f"head{z}"] = f"""
     SELECT key, headings, {snippet("t", 90)} AS title, {snippet("d", 400)} AS meta_desc,

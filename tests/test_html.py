@@ -91,14 +91,16 @@ def test_paragraph_of_fifty_characters(read):
 def test_headings(read):
     page = body("<h2>b <i>i</i></h2><h1> a\n a</h1><h3>c</h3><h4>d</h4><h2 class='x'>e&amp;</h2>")
     assert read(page)[0]["headings"] == "a ab ie&c"
+    assert read(body("<h1>a<h2>b</h2>c<H1 id=x>d</h3>e"))[0]["headings"] == "adb"
+    assert read(body("<h1>a<p>b<br>c"))[0]["headings"] == "a b c"
 
 
 def test_heading_levels_and_separator(spark):
     page = body("<h1>a</h1><h2>b</h2><h6>f</h6>")
     df = spark.createDataFrame([(page,)], "body string")
-    clean = P.clean_markup(F.col("body"))
+    parts = P.heading_parts(P.clean_markup(F.col("body")))
     for level, want in [(-1, ["a"]), (1, ["a"]), (2, ["a", "b"]), (6, ["a", "b", "f"]), (9, ["a", "b", "f"])]:
-        assert df.select(P.heading_fragments(clean, level)).first()[0] == want
+        assert df.select(P.heading_fragments(parts, level)).first()[0] == want
     joined = C.with_head_fields(C.with_markup(df), heading_separator="\n")
     assert joined.first()["headings"] == "a\nb"
 

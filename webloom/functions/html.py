@@ -49,15 +49,12 @@ BLOCK = rf"(?i)<(/?)(?:{'|'.join(BLOCK_ELEMENTS)}){ATTRS}>"
 LINE_BREAK = rf"(?i)</?br{ATTRS}>"
 TAG = r"<(?:/?[a-zA-Z]|[!?])[^<>]*>"
 TITLE = rf"(?is)<title{ATTRS}>(.*?)(?:</title\s*>|\z)"
+HEADING = rf"(?i)<(/?)h([1-6]){ATTRS}>"
 META = r"(?i)<meta[\s/][^<>]*>"
 META_CONTENT = rf"""(?i)[\s"'/]content(?:{VALUE}|[\s/>])"""
 REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*)"
 
 
-def heading_pattern(level: int) -> str:
-    return rf"(?is)<h{level}{ATTRS}>(.*?)(?:</h[1-6]\s*>|\z)"
-
-
 def meta_name_pattern(name: str) -> str:
     return rf"""[\s"'/](?i:name)\s*=\s*(?:"{name}"|'{name}'|{name}[\s/>])"""
 
@@ -187,16 +184,26 @@ def paragraphs(marked: Column, min_chars: int = MIN_PARAGRAPH_CHARS) -> Column:
     return F.filter(F.transform(candidates, _single_blanks), long_enough)
 
 
-def heading_fragments(clean: Column, max_level: int = HEADING_LEVELS) -> Column:
-    """Inner markup of h1 to ``h<max_level>``, level by level, each in page order."""
+def heading_parts(clean: Column) -> Column:
+    """The page cut at every heading tag; a part that opens a heading starts with its level.
+
+    A heading ends at the next heading tag of any level, opening or closing.
+    """
+    parts = F.split(F.regexp_replace(clean, HEADING, f"{OPEN}$1$2{CLOSE}"), OPEN)
+    return F.filter(parts, lambda p: F.substring(p, 2, 1) == CLOSE)
+
+
+def heading_fragments(parts: Column, max_level: int = HEADING_LEVELS) -> Column:
+    """Text source of h1 to ``h<max_level>``, level by level, each in page order."""
     levels = range(1, min(max(max_level, 1), 6) + 1)
-    found = F.concat(
-        *(F.regexp_extract_all(clean, F.lit(heading_pattern(n)), F.lit(1)) for n in levels)
-    )
+    found = F.concat(*(F.filter(parts, lambda p: F.startswith(p, F.lit(str(n)))) for n in levels))
     breaks = rf"{LINE_BREAK}|{BLOCK}"
-    return F.transform(
-        found, lambda h: F.regexp_replace(F.regexp_replace(h, breaks, " "), TAG, "")
-    )
+
+    def plain(part: Column) -> Column:
+        inner = F.substr(part, F.lit(3))
+        return F.regexp_replace(F.regexp_replace(inner, breaks, " "), TAG, "")
+
+    return F.transform(found, plain)
 
 
 def raw_title(clean: Column) -> Column:
@@ -204,14 +211,17 @@ def raw_title(clean: Column) -> Column:
     return F.regexp_extract(clean, TITLE, 1)
 
 
-def raw_meta(clean: Column, name: str) -> Column:
+def meta_tags(clean: Column) -> Column:
+    return F.regexp_extract_all(clean, F.lit(META), F.lit(0))
+
+
+def raw_meta(tags: Column, name: str) -> Column:
     """Source of the content of the first meta tag with exactly this name and a content."""
-    tags = F.filter(
-        F.regexp_extract_all(clean, F.lit(META), F.lit(0)),
-        lambda t: t.rlike(meta_name_pattern(name)) & t.rlike(META_CONTENT),
+    named = F.filter(
+        tags, lambda t: t.rlike(meta_name_pattern(name)) & t.rlike(META_CONTENT)
     )
     contents = F.transform(
-        F.slice(tags, 1, 1),
+        F.slice(named, 1, 1),
         lambda t: F.concat(*(F.regexp_extract(t, META_CONTENT, g) for g in (1, 2, 3))),
     )
     return F.coalesce(F.get(contents, 0), F.lit(""))

@@ -71,12 +71,15 @@ def has_content():
 
 def with_head_fields(extracted: DataFrame, heading_separator: str = "") -> DataFrame:
     """Headings, title and meta tags. Each text exists as a column before it is cut."""
-    clean = F.col("clean")
+    clean, metas = F.col("clean"), F.col("metas")
     single = F.array(
-        html.raw_title(clean), html.raw_meta(clean, "description"), html.raw_meta(clean, "keywords")
+        html.raw_title(clean), html.raw_meta(metas, "description"), html.raw_meta(metas, "keywords")
     )
-    fragments = F.concat(single, html.heading_fragments(clean))
-    read = extracted.withColumn("head", html.decoded(fragments))
+    fragments = F.concat(single, html.heading_fragments(F.col("heading_parts")))
+    tagged = extracted.withColumns(
+        {"metas": html.meta_tags(clean), "heading_parts": html.heading_parts(clean)}
+    )
+    read = tagged.withColumn("head", html.decoded(fragments)).drop("metas", "heading_parts")
     title, n = F.get("head", 0), F.size("head")
     named = read.withColumns(
         {
