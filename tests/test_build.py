@@ -336,3 +336,39 @@ def test_checkpoint_folder_comes_from_the_session():
     with pytest.raises(ValueError):
         checkpoint_dir(Conf("yarn"))
     assert checkpoint_dir(Conf())
+
+
+# ---- skew --------------------------------------------------------------------------------
+
+
+def test_one_id_with_a_third_of_all_pages(spark):
+    """The pages of a hot id shrink to one row per task before they are shuffled."""
+    texts = ["body", "full_body", "headings", "title", "meta_desc", "meta_keywords"]
+    rows = spark.range(0, 3000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("p"), F.col("id") % 500)).alias("id"),
+        F.concat(F.lit("2024-01-"), F.lpad((F.col("id") * 7 % 29).cast("string"), 2, "0")).alias("date"),
+        F.col("id").cast("string").alias("warc_record_id"),
+        F.lit("u").alias("warc_target_uri"),
+        *(F.concat(F.lit(c), F.col("id")).alias(c) for c in texts),
+    )
+    best = {}
+    for r in rows.collect():
+        key = (r["date"], r["warc_record_id"])
+        if r["id"] not in best or key > (best[r["id"]]["date"], best[r["id"]]["warc_record_id"]):
+            best[r["id"]] = r
+    merged = merge.merge_duplicates(rows)
+    assert {r["id"]: r for r in merged.collect()} == best
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    lines_of = plan.split("\n")
+    shuffle = next(i for i, l in enumerate(lines_of) if "Exchange hashpartitioning(id" in l)
+    assert any("WindowGroupLimit" in l for l in lines_of[shuffle + 1 :])
+
+
+def test_counters_with_a_hot_side_id(spark):
+    outcomes = spark.createDataFrame(
+        [("a", S.RECORD, "en", True), (None, S.BINARY, None, False)],
+        "id string, status string, lang string, has_content boolean",
+    )
+    side = spark.range(2000).select(F.when(F.col("id") < 1000, "a").otherwise("b").alias("id"))
+    row = counters.counter_row(outcomes, side, None).first()
+    assert (row["GENERATED_DOCS"], row["NO_CONTENT"], row["TOTAL_RECORDS"]) == (1, 1, 2)

@@ -11,9 +11,8 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from webloom import schema as S
-from webloom.functions import headers as H, html
+from webloom.functions import headers as H, text as X
 from webloom.functions.language import LanguageModel, profile
-from webloom.functions.text import truncate_snippet
 from webloom.operators import anchors as A, content as C, merge, ranks, records as R
 from webloom.plans import batches, index_build as B
 from webloom.session import prepare
@@ -319,13 +318,13 @@ def meta_keywords(spark, sf_dir):
 
 
 @query
-def truncate_snippets(spark, sf_dir):
+def truncate_snippet(spark, sf_dir):
     text = F.col("text")
     return demo.table(spark, sf_dir, "documents").select(
         "doc_id",
-        truncate_snippet(text, 20).alias("snippet_20"),
-        truncate_snippet(text, S.TITLE_CHARS).alias("snippet_90"),
-        truncate_snippet(text, S.META_CHARS).alias("snippet_400"),
+        X.truncate_snippet(text, 20).alias("snippet_20"),
+        X.truncate_snippet(text, S.TITLE_CHARS).alias("snippet_90"),
+        X.truncate_snippet(text, S.META_CHARS).alias("snippet_400"),
     )
 
 
@@ -473,6 +472,3 @@ def upsert_documents(spark, sf_dir):
     first = merge.merge_duplicates(pages(spark, sf_dir, 1))
     second = merge.merge_duplicates(pages(spark, sf_dir, 2))
     return D.upsert(first, second)
-
-
-QUERIES["truncate_snippet"] = QUERIES.pop("truncate_snippets")
