@@ -37,12 +37,16 @@ def join_side(pages: DataFrame, side: DataFrame | None, column: str, kind: str)
     return pages.join(side, "id", "left")
 
 
-def side_ids(*sides: DataFrame | None) -> DataFrame:
-    """Distinct ids of the side inputs that are present."""
-    frames = [s.select("id") for s in sides if s is not None]
-    return reduce(DataFrame.unionByName, frames).distinct()
-
-
 def orphan_ids(documents: DataFrame, *sides: DataFrame | None) -> DataFrame:
-    """Ids of side rows that no document carries."""
-    return side_ids(*sides).join(documents.select("id"), "id", "left_anti")
+    """Ids of side rows that no document carries.
+
+    One aggregation over slim rows. An anti join would be pushed below the union of the
+    sides, and the documents would be built once for each of them.
+    """
+    rows = reduce(
+        DataFrame.unionByName,
+        [s.select("id", F.lit(False).alias("built")) for s in sides if s is not None],
+        documents.select("id", F.lit(True).alias("built")),
+    )
+    per_id = rows.groupBy("id").agg(F.bool_or("built").alias("built"))
+    return per_id.where(~F.col("built")).select("id")

@@ -471,4 +471,4 @@ def index_json(spark, sf_dir):
 def upsert_documents(spark, sf_dir):
     first = merge.merge_duplicates(pages(spark, sf_dir, 1))
     second = merge.merge_duplicates(pages(spark, sf_dir, 2))
-    return D.upsert(first, second)
+    return D.latest(first, second)
