@@ -7,11 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from webloom.llm.binary_output import op7_repair_ids
+from webloom.llm.language_id import op8_kneser_ney_language
 from webloom.llm.packing import op4_nnls_packing
+from webloom.llm.simhash import op10_vantage_near_dedup
+from webloom.llm.toxicity import op2_pu_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_pu_toxicity": op2_pu_toxicity,
     "op4_nnls_packing": op4_nnls_packing,
     "op7_repair_ids": op7_repair_ids,
+    "op8_kneser_ney_language": op8_kneser_ney_language,
+    "op10_vantage_near_dedup": op10_vantage_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
