@@ -7,17 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from webloom.llm.binary_output import op7_repair_ids
+from webloom.llm.decontamination import op1_bm25_decontamination
 from webloom.llm.language_id import op8_kneser_ney_language
 from webloom.llm.packing import op4_nnls_packing
+from webloom.llm.secret_scan import op3_markov_secrets
+from webloom.llm.sharding import op6_permutation_shards
 from webloom.llm.simhash import op10_vantage_near_dedup
+from webloom.llm.topk import OP9_SQL, op9_kd_topk
 from webloom.llm.toxicity import op2_pu_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bm25_decontamination": op1_bm25_decontamination,
     "op2_pu_toxicity": op2_pu_toxicity,
+    "op3_markov_secrets": op3_markov_secrets,
     "op4_nnls_packing": op4_nnls_packing,
+    "op6_permutation_shards": op6_permutation_shards,
     "op7_repair_ids": op7_repair_ids,
     "op8_kneser_ney_language": op8_kneser_ney_language,
+    "op9_kd_topk": op9_kd_topk,
     "op10_vantage_near_dedup": op10_vantage_near_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op9_kd_topk": OP9_SQL}
