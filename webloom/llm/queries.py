@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from webloom.llm.binary_output import op7_repair_ids
 from webloom.llm.decontamination import op1_bm25_decontamination
 from webloom.llm.language_id import op8_kneser_ney_language
+from webloom.llm.licences import op5_tfidf_licences
 from webloom.llm.packing import op4_nnls_packing
 from webloom.llm.secret_scan import op3_markov_secrets
 from webloom.llm.sharding import op6_permutation_shards
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pu_toxicity": op2_pu_toxicity,
     "op3_markov_secrets": op3_markov_secrets,
     "op4_nnls_packing": op4_nnls_packing,
+    "op5_tfidf_licences": op5_tfidf_licences,
     "op6_permutation_shards": op6_permutation_shards,
     "op7_repair_ids": op7_repair_ids,
     "op8_kneser_ney_language": op8_kneser_ney_language,

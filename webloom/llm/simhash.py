@@ -125,7 +125,7 @@ def op10_vantage_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents with one row of every component: the one with the smallest id.
+    """``docs`` (doc_id, text and others) with one row of every component: the one with the smallest id.
 
     Rows that share that id are told apart by a hash of their text, and equal rows are kept once.
     """
