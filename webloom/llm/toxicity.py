@@ -68,8 +68,8 @@ class _Known(dict):
 
 
 def features(text: str | None) -> np.ndarray:
-    """All features of a text, as sorted hashes."""
-    return np.array(sorted(set(chain.from_iterable(map(of_word, words(text))))), "<i8")
+    """All features of a text, as sorted hashes of 32 bits."""
+    return np.array(sorted(set(chain.from_iterable(map(of_word, words(text))))), "<u4")
 
 
 class Classifier:
@@ -128,7 +128,7 @@ def telling(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.ndar
 
 def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> Classifier:
     """Minimise the non-negative risk with the logistic loss by Adam steps over the whole sample."""
-    weighted = telling(positive, unlabelled) if positive and unlabelled else np.zeros(0, np.int64)
+    weighted = telling(positive, unlabelled) if positive and unlabelled else np.zeros(0, np.uint32)
     if not len(weighted):
         return Classifier(weighted, np.zeros(0), -20.0)
     p, u = _Rows(positive, weighted), _Rows(unlabelled, weighted)
@@ -161,7 +161,7 @@ def _features(docs: DataFrame) -> list[np.ndarray]:
 
     # copies count once: they are no further evidence, and the sample stays bounded
     text = docs.select(F.col("text").cast("string")).distinct()
-    return [np.frombuffer(r.f, "<i8") for r in text.mapInArrow(run, "f binary").collect()]
+    return [np.frombuffer(r.f, "<u4") for r in text.mapInArrow(run, "f binary").collect()]
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Classifier:
