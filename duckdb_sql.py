@@ -1,8 +1,8 @@
 """The catalogued queries as DuckDB SQL over the sample tables.
 
 Common table expressions are declared once, with their dependencies read from the SQL, and a
-query is a final SELECT plus the expressions it needs. The patterns are those of the Spark
-functions; everything around them is written for DuckDB.
+query is a final SELECT plus the expressions it needs. Patterns are written for RE2 on their own;
+only the names of elements and entities are those of the Spark side.
 """
 
 from __future__ import annotations
@@ -13,6 +13,31 @@ from html.entities import name2codepoint
 from webloom.functions import html as P
 from webloom.sources.demo import UUID_PREFIX
 
+# Tags: attributes with their quoted values, which may hold anything but a tag start; where a quote is
+# left open the tag ends at the first bracket.
+INSIDE = r"""[^<>"']*(?:"[^"<]*"[^<>"']*|'[^'<]*'[^<>"']*)*"""
+CLOSE_TAG = rf"(?:{INSIDE}>|[^<>]*>)"
+NAME_END = rf"(?:>|[\s/]{CLOSE_TAG})"
+ATTRIBUTE = r"""\s*=\s*(?:"([^"<]*)"|'([^'<]*)'|([^\s"'>]+))"""
+ELEMENTS = "|".join(P.BLOCK_ELEMENTS)
+BLOCK_TAG = rf"(?i)<(/?)(?:{ELEMENTS}){NAME_END}"
+BR_TAG = rf"(?i)</?br{NAME_END}"
+ANY_TAG = rf"<(?:[a-zA-Z]|/[a-zA-Z]|!|\?){CLOSE_TAG}"
+ALT_TAG = (
+    r"""(?i)<[a-z](?:[^<>"']|"[^"<]*"|'[^'<]*')*?(?:[\s/]|"[^"<]*"|'[^'<]*')alt"""
+    rf"{ATTRIBUTE}{CLOSE_TAG}"
+)
+TITLE_TEXT = rf"(?is)<title{NAME_END}(.*?)(?:</title\s*>|\z)"
+HEAD_TITLE = rf"(?is)<title{NAME_END}.*?(?:</title\s*>|\z)"
+HEADING_TAG = rf"(?i)<(/?)h([1-6]){NAME_END}"
+META_TAG = rf"(?i)<meta[\s/]{CLOSE_TAG}"
+CONTENT_VALUE = rf"""(?i)[\s"'/]content(?:{ATTRIBUTE}|[\s/>])"""
+HIDDEN = (
+    rf"(?is)(<script{NAME_END}).*?(?:</script[^<>]*>|\z)|(<style{NAME_END}).*?(?:</style[^<>]*>|\z)|<!--.*?(?:-->|\z)"
+)
+WHITE = r"[ \t\n\f\r\x01-\x05]+"
+REFERENCE = r"^(#\d{1,7}|#[xX][0-9A-Fa-f]{1,6}|[a-zA-Z][a-zA-Z0-9]*)"
+
 CONTROL = "".join(chr(c) for c in range(1, 0x21))
 BLANKS = r"[ \t\n\f\r]+"
 
@@ -66,7 +91,7 @@ BARE = ", ".join(lit(n) for n in P.bare_names())
 
 
 def entities(s: str) -> str:
-    ref = f"regexp_extract(p, {lit(P.REFERENCE)}, 1)"
+    ref = f"regexp_extract(p, {lit(REFERENCE)}, 1)"
     closed = f"substr(p, length({ref}) + 1, 1) = ';'"
     hexa = f"TRY_CAST('0x' || substr({ref}, 3) AS BIGINT)"
     deci = f"TRY_CAST(substr({ref}, 2) AS BIGINT)"
@@ -106,16 +131,16 @@ def languages(texts: str, keys: str) -> str:
 
 
 def fragment(x: str) -> str:
-    blank = sub(x, rf"{P.LINE_BREAK}|{P.BLOCK}", " ")
-    return squeeze(entities(sub(blank, P.TAG, "")))
+    blank = sub(x, rf"{BR_TAG}|{BLOCK_TAG}", " ")
+    return squeeze(entities(sub(blank, ANY_TAG, "")))
 
 
 def meta(name: str) -> str:
-    content = " || ".join(f"regexp_extract(tag, {lit(P.META_CONTENT)}, {g})" for g in (1, 2, 3))
+    content = " || ".join(f"regexp_extract(tag, {lit(CONTENT_VALUE)}, {g})" for g in (1, 2, 3))
     found = (
-        f"list_filter(regexp_extract_all(clean, {lit(P.META)}), lambda t: "
+        f"list_filter(regexp_extract_all(clean, {lit(META_TAG)}), lambda t: "
         f"regexp_matches(t, {lit(P.meta_name_pattern(name))}) AND "
-        f"regexp_matches(t, {lit(P.META_CONTENT)}))"
+        f"regexp_matches(t, {lit(CONTENT_VALUE)}))"
     )
     return (
         f"coalesce(list_transform(list_slice({found}, 1, 1), lambda tag: "
@@ -123,6 +148,26 @@ def meta(name: str) -> str:
     )
 
 
+def http_date(s: str) -> str:
+    """Day, month, year, time and zone are added up, so that each may run over."""
+    shape = (
+        r"(?i)^\w+, *(\d+) +(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)\w* +(\d+) +(\d+):(\d+):(\d+) +"
+        r"(GMT|[+-]\d{4})"
+    )
+    day, month, year, hour, minute, second, zone = (
+        f"regexp_extract({s}, {lit(shape)}, {g})" for g in range(1, 8)
+    )
+    number = f"(instr('janfebmaraprmayjunjulaugsepoctnovdec', lower({month})) + 2) // 3"
+    start = f"make_timestamp(CAST({year} AS BIGINT), {number}, 1, 0, 0, 0.0)"
+    plus = " + ".join(
+        f"{unit}(CAST({value} AS BIGINT))"
+        for unit, value in (("to_hours", hour), ("to_minutes", minute), ("to_seconds", second))
+    )
+    ahead = f"CASE WHEN {zone} = 'GMT' THEN 0 ELSE CAST({zone} AS BIGINT) // 100 END"
+    moment = f"{start} + to_days(CAST({day} AS INTEGER) - 1) + {plus} - to_hours({ahead})"
+    return f"CASE WHEN regexp_matches({s}, {lit(shape)}) THEN strftime({moment}, '%Y-%m-%dT%H:%M:%SZ') END"
+
+
 CTES: dict[str, str] = {}
 
 DATES = {
@@ -132,12 +177,17 @@ DATES = {
 TITLED = "CASE WHEN page_id % 6 = 5 THEN regexp_replace(html, '<title>[^<]*</title>', '<title></title>', 'g') ELSE html END"
 EDITED = f"""replace(replace({TITLED}, '<style>',
   '<meta name="keywords" content="k' || (page_id % 5) || ',  z"><meta name="description" content="' ||
-  repeat('word' || (page_id % 10) || ' ', page_id % 200) || '"><style>'), '</article>',
+  repeat('word' || (page_id % 10) || ' ', page_id % 200) || CASE WHEN page_id % 5 = 4 THEN ' > more' ELSE '' END || '"><style>'), '</article>',
   '<h3>Third ' || page_id || '</h3><h2> Second  ' || page_id || '</h2><img src="i.png" alt="pic ' ||
-  page_id || '"></article>')"""
+  page_id || CASE WHEN page_id % 4 = 3 THEN ' > next' ELSE '' END ||
+  '"><p>The picture above shows what this page is about<a title="up > down" href=x>' ||
+  CASE WHEN page_id % 3 = 1 THEN ' ' || chr(128512) ELSE '' END || ' and the link</a></p></article>')"""
+SHAPED = f"""CASE WHEN page_id % 17 = 16 THEN replace({EDITED}, '</head><body>', '')
+  WHEN page_id % 19 = 18 THEN replace({EDITED}, '</head><body>', '</head><div>Banner before the body</div><body>')
+  ELSE {EDITED} END"""
 BODIES = {
     1: f"""CASE WHEN page_id % 31 = 30 THEN '<html><body>x</body></html>'
-      WHEN page_id % 97 = 96 THEN {EDITED} || repeat('<!-- pad -->', {1048576 // 12 + 1}) ELSE {EDITED} END""",
+      WHEN page_id % 97 = 96 THEN ({SHAPED}) || repeat('<!-- pad -->', {1048576 // 12 + 1}) ELSE {SHAPED} END""",
     2: "html",
 }
 
@@ -152,9 +202,12 @@ def declare_crawl(v: int, z: str) -> None:
         WHEN page_id % 29 = 28 THEN 'Response' ELSE 'response' END AS warc_type,
       CASE WHEN page_id % 13 = 12 THEN 'base64' ELSE 'plain' END AS encoding,
       CASE WHEN page_id % 15 = 14 THEN url || ' x' ELSE url END AS target_uri,
-      CASE WHEN page_id % 10 = 9 THEN NULL WHEN page_id % 3 = 0 THEN 'text/html; charset=UTF-8'
+      CASE WHEN page_id % 10 = 9 THEN NULL WHEN page_id % 21 = 20 THEN 'text/html' || chr(9) || '; charset=x'
+        WHEN page_id % 3 = 0 THEN 'text/html; charset=UTF-8'
         ELSE ' text/html ' END AS content_type,
       CASE WHEN page_id % 12 = 11 THEN NULL WHEN page_id % 8 = 7 THEN 'not a date'
+        WHEN page_id % 25 = 24 THEN 'Tuesday, 2 January 2024 03:04:05 GMT, or so'
+        WHEN page_id % 25 = 23 THEN 'Thu, 32 Jan 2024 25:04:05 +0100'
         ELSE {DATES[v]} || {digits("page_id % 60", 2)} || ' GMT' END AS http_date,
       {BODIES[v]} AS body FROM pages"""
     CTES[f"records{z}"] = f"""
@@ -202,18 +255,19 @@ def declare_crawl(v: int, z: str) -> None:
         AS warc_target_path,
       CASE WHEN {valid} THEN url_decode(replace(regexp_extract(warc_target_uri, '^[^?#]*[?]([^#]*)', 1), '+', '%2B'))
         END AS warc_target_query_string,
-      trim(split_part(type_header, ';', 1)) AS content_type,
-      strftime(try_strptime(date_header, '%a, %d %b %Y %H:%M:%S GMT'), '%Y-%m-%dT%H:%M:%SZ') AS date
+      {strip("split_part(type_header, ';', 1)")} AS content_type,
+      {http_date("date_header")} AS date
     FROM (SELECT *, {digest} AS h FROM (
       SELECT *, coalesce(warc_trec_id, warc_record_id) AS id FROM classified{z} WHERE status IS NULL))"""
+    before = r"regexp_extract(clean, '(?is)\A(.*?)<body[\s/>]', 1)"
     body = (
-        rf"CASE WHEN regexp_matches(clean, '(?i)<body[\s/>]') THEN regexp_extract(clean, {lit(P.BODY)}, 1) "
-        f"ELSE {sub('clean', P.HEAD, '')} END"
+        rf"CASE WHEN regexp_matches(clean, '(?i)<body[\s/>]') THEN {sub(before, HEAD_TITLE, '')} || "
+        f"substr(clean, length({before}) + 1) ELSE {sub('clean', HEAD_TITLE, '')} END"
     )
-    marked = sub(body, P.ALT, f"{P.ALT_START}\\1\\2\\3{P.ALT_END}")
-    marked = sub(marked, P.BLOCK, f"{P.OPEN}\\1{P.CLOSE}")
-    marked = sub(sub(marked, P.LINE_BREAK, P.BREAK), P.TAG, "")
-    cleaned = sub(sub("body", P.RAW_BLANKS, " "), P.UNSEEN, "\\1\\2")
+    marked = sub(body, ALT_TAG, f"{P.ALT_START}\\1\\2\\3{P.ALT_END}")
+    marked = sub(marked, BLOCK_TAG, f"{P.OPEN}\\1{P.CLOSE}")
+    marked = sub(sub(marked, BR_TAG, P.BREAK), ANY_TAG, "")
+    cleaned = sub(sub("body", WHITE, " "), HIDDEN, "\\1\\2")
     CTES[f"marked{z}"] = f"""
     SELECT * EXCLUDE (m), {entities("m")} AS marked FROM (
       SELECT *, {marked} AS m FROM (SELECT *, {cleaned} AS clean FROM keyed{z}))"""
@@ -240,8 +294,8 @@ def declare_crawl(v: int, z: str) -> None:
     SELECT x.*, m.lang, m.main_text FROM texts{z} x JOIN main{z} m ON x.key = m.key"""
     stripped = f"replace({plain}, {lit(P.OPEN + '/' + P.CLOSE)}, '')"
     spaced = f"translate({stripped}, {lit(P.OPEN + P.CLOSE + P.BREAK)}, '   ')"
-    own = squeeze(entities(f"regexp_extract(clean, {lit(P.TITLE)}, 1)"))
-    cut = f"string_split({sub('clean', P.HEADING, f'{P.OPEN}{chr(92)}1{chr(92)}2{P.CLOSE}')}, {lit(P.OPEN)})"
+    own = squeeze(entities(f"regexp_extract(clean, {lit(TITLE_TEXT)}, 1)"))
+    cut = f"string_split({sub('clean', HEADING_TAG, f'{P.OPEN}{chr(92)}1{chr(92)}2{P.CLOSE}')}, {lit(P.OPEN)})"
     heads = ", ".join(
         f"list_transform(list_filter({cut}, lambda p: substr(p, 1, 2) = {lit(f'{n}{P.CLOSE}')}), "
         f"lambda p: substr(p, 3))"
@@ -255,7 +309,7 @@ def declare_crawl(v: int, z: str) -> None:
       {meta("description")} AS d, {meta("keywords")} AS k FROM marked{z})"""
     CTES[f"final{z}"] = f"""
     SELECT x.id, x.uuid, warc_trec_id, warc_record_id, warc_target_uri, warc_target_hostname, warc_target_path,
-      warc_target_query_string, content_type, date, lang, length(main_text) AS body_length, main_text AS body,
+      warc_target_query_string, content_type, date, lang, length(main_text) + length(regexp_replace(main_text, '[^\\x{{10000}}-\\x{{10FFFF}}]', '', 'g')) AS body_length, main_text AS body,
       full_body, headings, title, meta_desc, meta_keywords, x.key
     FROM extracted{z} x JOIN head{z} h ON x.key = h.key
     WHERE strlen(main_text) >= 5 AND {strip("main_text")} <> ''"""
@@ -435,6 +489,8 @@ SELECTS = {
     "job_summary": """SELECT total AS total_records, records, too_large AS skipped_too_large,
         CAST(0 AS BIGINT) AS skipped_html_parse_error, generated, no_content FROM counts""",
     "index_documents": f"SELECT {COLUMNS}, spam_rank, {RANKED}, anchors FROM documents_built",
+    "index_anchors": """SELECT f.uuid, a.lang, a.anchor, count(*) AS n
+        FROM (SELECT DISTINCT id, uuid FROM final1) f JOIN anchor_langs a ON f.id = a.id GROUP BY f.uuid, a.lang, a.anchor""",
     "index_documents_batch": f"SELECT {COLUMNS}, spam_rank, {RANKED}, anchors FROM documents_built",
     "index_json": f"SELECT uuid, '{{' || concat_ws(',', {JSON_FIELDS}) || '}}' AS document FROM documents_built d",
     "upsert_documents": f"""SELECT {COLUMNS} FROM final1 WHERE uuid NOT IN (SELECT uuid FROM final2)

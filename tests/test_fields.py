@@ -33,7 +33,7 @@ def test_uuid_is_version_five(apply):
 
 
 def test_content_type(apply):
-    values = ["text/html; charset=x", " text/html ", ";", "; x", "", None]
+    values = ["text/html; charset=x", " text/html\t; charset=x", ";", "; x", "", None]
     assert apply(H.content_type, values) == ["text/html", "text/html", "", "", "", None]
 
 
@@ -46,7 +46,13 @@ def test_http_date(apply):
         "Tue, 02 Jan 2024 03:04:05 +0100": "2024-01-02T02:04:05Z",
         "Tue, 02 Jan 2024 03:04:05 GMT+01:00": "2024-01-02T02:04:05Z",
         "02 Jan 2024 03:04:05 GMT": None,
-        "Tue, 32 Jan 2024 03:04:05 GMT": None,
+        "Tue, 32 Jan 2024 03:04:05 GMT": "2024-02-01T03:04:05Z",
+        "Tue, 02 January 2024 03:04:05 GMT": "2024-01-02T03:04:05Z",
+        "Tue, 02 Jan 2024 03:04:05 GMT; and more": "2024-01-02T03:04:05Z",
+        "Tue, 30 Feb 2024 25:61:61 -0230": "2024-03-02T04:32:01Z",
+        "Tue, 02 Jan 2024 03:04:05": None,
+        "Tue, 02 Jan 2024 03:04:05 XYZ": None,
+        "Tue, 02 Foo 2024 03:04:05 GMT": None,
         "2024-01-02": None,
         "": None,
         None: None,

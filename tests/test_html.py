@@ -145,30 +145,30 @@ class Walker(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.out, self.inside, self.hidden = "", False, False
+        self.out, self.body, self.hidden = "", False, False
         self.heads, self.open = [], None
         self.metas = {}
 
     def handle_starttag(self, tag, attrs):
         values = dict(attrs)
         if tag == "body":
-            self.inside = True
+            self.body = True
             return
         if tag == "meta" and values.get("name") in ("description", "keywords"):
             self.metas.setdefault(values["name"], values.get("content"))
-        if self.inside:
+        if tag not in ("html",):
             alt = values.get("alt")
             if alt is not None:
                 self.out += re.sub(r"[ \t\n\f\r]+", " ", alt)
             if (tag in P.BLOCK_ELEMENTS or tag == "br" or alt is not None) and self.out:
                 if not self.out.endswith(" "):
                     self.out += " "
-        self.hidden = tag in ("script", "style")
+        self.hidden = tag in ("script", "style") or tag == "title" and not self.body
         if re.fullmatch("h[123]", tag):
             self.open = [tag, ""]
 
     def handle_endtag(self, tag):
-        if tag in ("script", "style"):
+        if tag in ("script", "style", "title"):
             self.hidden = False
         if self.open and re.fullmatch("h[1-6]", tag):
             self.heads.append(tuple(self.open))
@@ -179,10 +179,33 @@ class Walker(HTMLParser):
             return
         if self.open:
             self.open[1] += data
-        if self.inside:
+        if self.out or data.strip():
             self.out += re.sub(r"[ \t\n\f\r]+", " ", data)
 
 
+def test_brackets_within_quoted_values(read):
+    got = read(
+        '<body><p>x<img alt="a > b" src="s">y</p><a title="p > q" href="u">link</a>',
+        "<meta name='description' content='News > World > Europe'><body>x",
+        '<title data-x="a>b">T</title><body><h1 id=">">H</h1><br class=\'>\'>z',
+        '<body><p title="open>one</p><p>two',
+        "<body><img src='>' alt='>'>x<img title=\"alt='no'\" alt=yes>",
+    )
+    assert [r["full_body"] for r in got] == ["xa > b ylink", "x", "H z", "one two", "> xyes"]
+    assert got[1]["meta_desc"] == "News > World > Europe"
+    assert (got[2]["title"], got[2]["headings"]) == ("T", "H")
+
+
+def test_head_and_body_need_not_be_written(read):
+    got = read(
+        "<html><head><title>T</title><p>Text here",
+        "<html><head><title>T</title></head><div>Banner</div><body><p>x",
+        "<head><title>T</title><style>p{}</style><meta name=a content=b>Text<body>x<svg><title>pic</title></svg>",
+    )
+    assert [r["full_body"] for r in got] == ["Text here", "Banner x", "Text x pic"]
+    assert {r["title"] for r in got} == {"T"}
+
+
 def test_all_sample_pages_against_a_tree_walk(spark):
     fields = demo.record_fields(spark, MEDIUM).select("page_id", "body", F.col("body").alias("raw"))
     rows = C.with_head_fields(C.with_texts(C.with_markup(fields))).collect()
@@ -197,6 +220,6 @@ def test_all_sample_pages_against_a_tree_walk(spark):
         assert r["meta_keywords"] == " ".join((w.metas.get("keywords") or "").split())
 
 
-@pytest.mark.parametrize("junk", ["<a" * 200000, "<!--" * 100000, "<h1>" * 100000, "<body " * 80000, "&" * 300000])
+@pytest.mark.parametrize("junk", ["<a" * 200000, "<!--" * 100000, "<h1>" * 100000, "<body " * 80000, "&" * 300000, "<a b='" * 170000, '<img alt="' * 100000, "<p " + "a='b' " * 170000 + ">x", "<p " + "a=\"b" * 200000])
 def test_hostile_pages_end_in_time(read, junk):
     assert len(read(junk)) == 1

@@ -5,6 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from webloom.operators import anchors as A, ranks
+from webloom.plans import batches as BT, index_build as B
 from webloom.sources.lines import read_lines
 
 ID = "clueweb12-en0000-00-00001"
@@ -77,29 +78,35 @@ def skewed(spark):
     return spark.createDataFrame(hot + rest, "id string, lang string, anchor string"), hot + rest
 
 
-@pytest.mark.parametrize("bound", [A.INLINE_BYTES, 2000, 0])
-def test_gathered_anchors_hold_every_line(spark, bound):
+class OneLanguage:
+    """Stand-in for a model: short texts are German."""
+
+    def detect(self, text):
+        return F.when(F.length(text) < 4, "de").otherwise("en")
+
+
+def test_scored_anchors_hold_every_line(spark):
     df, rows = skewed(spark)
-    gathered = A.gather_anchors(df, inline_bytes=bound)
     found = Counter()
-    for r in gathered.inline.collect():
-        assert r["texts"] == sorted(r["texts"])
-        found.update((r["id"], r["lang"], t) for t in r["texts"])
-    overflow = gathered.overflow.collect()
-    for r in overflow:
+    for r in A.scored_anchors(df.drop("lang"), OneLanguage()).collect():
         found[(r["id"], r["lang"], r["anchor"])] += r["n"]
-    assert found == Counter(rows)
-    ids = {r["id"] for r in overflow}
-    assert ids == {A.INLINE_BYTES: set(), 2000: {"hot"}}.get(bound, {r[0] for r in rows})
+    assert found == Counter((i, "de" if len(t) < 4 else "en", t) for i, _, t in rows)
 
 
-def test_anchors_per_document(spark):
+def test_nested_anchors_hold_every_line_or_fail(spark):
     df, rows = skewed(spark)
-    per_doc = A.anchors_per_document(A.gather_anchors(df).inline).collect()
+    flat = df.groupBy("id", "lang", "anchor").agg(F.count("*").alias("n"))
+    found, per_doc = Counter(), A.nested_anchors(flat).collect()
     assert len(per_doc) == len({r[0] for r in rows})
     for r in per_doc:
         langs = [a["lang"] for a in r["anchors"]]
         assert langs == sorted(set(langs))
+        for a in r["anchors"]:
+            assert a["texts"] == sorted(a["texts"])
+            found.update((r["id"], a["lang"], t) for t in a["texts"])
+    assert found == Counter(rows)
+    with pytest.raises(PySparkException, match="anchor texts of hot"):
+        A.nested_anchors(flat, most_bytes=5000).collect()
 
 
 def test_live_anchors(spark):
@@ -117,21 +124,37 @@ def test_lines_read_plain_and_compressed(spark, tmp_path):
     assert read_lines(spark, None) is None
 
 
-def test_gathering_detects_each_line_once(spark, model):
-    """The sizes and the texts come from one exchange, so languages are detected once."""
-    lines_df = lines(spark, *(f"{ID[:-1]}{i % 10} the text of {i}" for i in range(100)))
+def counting(spark):
+    """A model that counts the texts it is given, and its accumulator."""
     seen = spark.sparkContext.accumulator(0)
 
     @F.udf("string")
     def counted(v):
         seen.add(1)
-        return v
+        return "en"
+
+    class Counting:
+        detect = staticmethod(lambda text: counted(text))
+
+    return Counting(), seen
+
 
-    parsed = A.parse_anchors(lines_df).withColumn("anchor", counted("anchor"))
-    gathered = A.gather_anchors(A.with_anchor_langs(parsed, model))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_each_distinct_anchor_is_scored_once(spark, threshold):
+    """100 lines of 20 distinct texts: for nested documents and for stored sides as a whole."""
+    lines_df = lines(spark, *(f"{ID[:-1]}{i % 10} the text of {i % 20}" for i in range(100)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        assert len(gathered.inline.collect()) > 0
+        model, seen = counting(spark)
+        scored = A.scored_anchors(A.parse_anchors(lines_df), model)
+        assert len(A.nested_anchors(scored).collect()) == 10
+        assert seen.value == 20
+        model, seen = counting(spark)
+        inputs = B.Inputs(spark.createDataFrame([], "key string, value string"), anchors=lines_df)
+        stored = BT.store_sides(spark, B.read_sides(inputs, model))
+        assert stored.sides.anchors.count() == 20 and stored.sides.anchor_ids.count() == 10
+        assert seen.value == 20
+        stored.drop(spark)
+        assert not spark.sql("SHOW TABLES LIKE 'webloom_sides_*'").collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert seen.value == 100

@@ -8,8 +8,9 @@ A page runs through three forms, each meant to be a materialised column of its o
                      titles, headings and meta tags from the clean markup.
 
 Spark repeats an expression that is used several times inside another one, so the results
-are meant to be cut to length in a later select. Every pattern runs in linear time and uses only syntax shared by Java and RE2. Tags are
-matched as ``<name[^<>]*>``: an angle bracket inside an attribute value ends the tag early.
+are meant to be cut to length in a later select. Every pattern runs in linear time. A tag ends at
+the first ``>`` outside quoted attribute values; where a quote is left open, at the first ``>``.
+Loops over attributes are possessive: they never step back, and need no stack.
 """
 
 from __future__ import annotations
@@ -34,23 +35,26 @@ BLOCK_ELEMENTS = (
     "ul video audio"
 ).split()
 
-ATTRS = r"(?:[\s/][^<>]*)?"
-VALUE = r"""\s*=\s*(?:"([^">]*)"|'([^'>]*)'|([^\s"'>]+))"""
+UNIT = r"""(?:[^<>"']++|"[^"<]*+"|'[^'<]*+')"""  # a stretch of a tag, or a quoted value
+END = rf"(?:{UNIT}*+>|[^<>]*+>)"
+TAIL = rf"(?:>|[\s/]{END})"  # what follows a tag name
+VALUE = r"""\s*=\s*(?:"([^"<]*)"|'([^'<]*)'|([^\s"'>]+))"""
 RAW_BLANKS = r"[ \t\n\f\r\x01-\x05]+"
 UNSEEN = (
-    rf"(?is)(<script{ATTRS}>).*?(?:</script[^<>]*>|\z)"
-    rf"|(<style{ATTRS}>).*?(?:</style[^<>]*>|\z)"
+    rf"(?is)(<script{TAIL}).*?(?:</script[^<>]*>|\z)"
+    rf"|(<style{TAIL}).*?(?:</style[^<>]*>|\z)"
     r"|<!--.*?(?:-->|\z)"
 )
-BODY = rf"(?is)<body{ATTRS}>(.*)"
-HEAD = rf"(?is)<head{ATTRS}>.*?(?:</head\s*>|\z)|<title{ATTRS}>.*?(?:</title\s*>|\z)"
-ALT = rf"""(?i)<[a-z][^<>]*[\s"']alt{VALUE}[^<>]*>"""
-BLOCK = rf"(?i)<(/?)(?:{'|'.join(BLOCK_ELEMENTS)}){ATTRS}>"
-LINE_BREAK = rf"(?i)</?br{ATTRS}>"
-TAG = r"<(?:/?[a-zA-Z]|[!?])[^<>]*>"
-TITLE = rf"(?is)<title{ATTRS}>(.*?)(?:</title\s*>|\z)"
-HEADING = rf"(?i)<(/?)h([1-6]){ATTRS}>"
-META = r"(?i)<meta[\s/][^<>]*>"
+BEFORE_BODY = r"(?is)\A(.*?)<body[\s/>]"
+TITLE_ELEMENT = rf"(?is)<title{TAIL}.*?(?:</title\s*>|\z)"
+NO_ALT = r"""(?:(?!(?<=[\s"'/])alt\s*=)(?:[^<>"']|"[^"<]*+"|'[^'<]*+'))*+"""
+ALT = rf"(?i)<[a-z]{NO_ALT}alt{VALUE}{END}"
+BLOCK = rf"(?i)<(/?)(?:{'|'.join(BLOCK_ELEMENTS)}){TAIL}"
+LINE_BREAK = rf"(?i)</?br{TAIL}"
+TAG = rf"<(?:/?[a-zA-Z]|[!?]){END}"
+TITLE = rf"(?is)<title{TAIL}(.*?)(?:</title\s*>|\z)"
+HEADING = rf"(?i)<(/?)h([1-6]){TAIL}"
+META = rf"(?i)<meta[\s/]{END}"
 META_CONTENT = rf"""(?i)[\s"'/]content(?:{VALUE}|[\s/>])"""
 REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*)"
 
@@ -131,10 +135,16 @@ def clean_markup(html: Column) -> Column:
 
 
 def marked_body(clean: Column) -> Column:
-    """The body with every tag replaced by a marker or by nothing."""
+    """The body with every tag replaced by a marker or by nothing.
+
+    Neither a head nor a body has to be written out: a head shows no text but its title, so only
+    title elements before the body go, and what stands there by mistake belongs to the body.
+    """
+    before = F.regexp_extract(clean, BEFORE_BODY, 1)
+    after = F.substr(clean, F.char_length(before) + 1)
     body = F.when(
-        clean.rlike(r"(?i)<body[\s/>]"), F.regexp_extract(clean, BODY, 1)
-    ).otherwise(F.regexp_replace(clean, HEAD, ""))
+        clean.rlike(r"(?i)<body[\s/>]"), F.concat(F.regexp_replace(before, TITLE_ELEMENT, ""), after)
+    ).otherwise(F.regexp_replace(clean, TITLE_ELEMENT, ""))
     s = F.regexp_replace(body, ALT, f"{ALT_START}$1$2$3{ALT_END}")
     s = F.regexp_replace(s, BLOCK, f"{OPEN}$1{CLOSE}")
     s = F.regexp_replace(s, LINE_BREAK, BREAK)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, functions as F
 
 from webloom import schema as S
@@ -12,9 +10,8 @@ from webloom.functions.language import LanguageModel
 # Fixed value: the id shape of anchor lines.
 ANCHOR_ID = r"clueweb\d{2}-\w{2}\d{4}-\d{2}-\d{5}"
 
-# Largest set of anchor texts, in bytes, put into one array of one document.
-INLINE_BYTES = 8 << 20
-SALTS = 32
+# Largest amount of anchor text, in bytes, that may be nested into one document.
+NESTED_BYTES = 64 << 20
 
 
 def parse_anchors(lines: DataFrame, id_pattern: str = ANCHOR_ID) -> DataFrame:
@@ -44,59 +41,52 @@ def with_anchor_langs(anchors: DataFrame, model: LanguageModel) -> DataFrame:
     return anchors.withColumn("lang", model.detect(F.col("anchor")))
 
 
-@dataclass(frozen=True)
-class GatheredAnchors:
-    """Anchor texts per document; together the two frames hold every anchor line.
+def distinct_anchors(anchors: DataFrame) -> DataFrame:
+    """``id, anchor, n``: every text of an id once, with its number of lines.
 
-    ``inline``    id, lang, texts: sorted array, one row per (id, lang) of bounded size
-    ``overflow``  id, lang, anchor, n: the (id, lang) groups too large for one row, as
-                  distinct texts with their number of lines
+    Equal texts merge on the map side, and texts spread an id over all tasks, so neither a hot id
+    nor a hot text gathers anywhere.
     """
+    known = anchors.where(F.col("id").isNotNull() & F.col("anchor").isNotNull())
+    return known.groupBy("id", "anchor").agg(F.count(F.lit(1)).alias("n"))
+
 
-    inline: DataFrame
-    overflow: DataFrame
+def scored_anchors(anchors: DataFrame, model: LanguageModel) -> DataFrame:
+    """``id, lang, anchor, n``, one row per text of an id: the one layout of anchors, at any size.
+
+    Each distinct text of an id is scored once.
+    """
+    return with_anchor_langs(distinct_anchors(anchors), model).select("id", "lang", "anchor", "n")
 
 
-def gather_anchors(detected: DataFrame, inline_bytes: int = INLINE_BYTES) -> GatheredAnchors:
-    """Collect anchors per (id, lang) without ever building an unbounded group.
+def nested_anchors(scored: DataFrame, most_bytes: int = NESTED_BYTES) -> DataFrame:
+    """``id, anchors ARRAY<STRUCT<lang, texts>>``, sorted by language and text: all or an error.
 
-    Equal texts merge on the map side. The size of every group is known before anything is
-    collected. Groups beyond ``inline_bytes`` stay flat; their keys are spread over salts so
-    that a group holding much of the data is split in the join that singles it out.
+    The size of every id is known before anything is gathered. An id beyond ``most_bytes`` stops
+    the query: its texts would not fit one row, and leaving some out would go unnoticed. Such ids
+    are read from the flat rows instead.
     """
-    # the join below implies these tests on one of its sides; made here, they keep the two
-    # sides alike, and Spark then runs the exchange under both of them once
-    known = detected.where(F.col("id").isNotNull() & F.col("lang").isNotNull())
-    texts = known.groupBy("id", "lang", "anchor").agg(F.count(F.lit(1)).alias("n"))
-    sizes = texts.groupBy("id", "lang").agg(
-        F.sum((F.octet_length("anchor") + 16) * F.col("n")).alias("bytes")
+    size = (F.octet_length("anchor") + 16) * F.col("n")
+    large = (
+        scored.groupBy("id")
+        .agg(F.sum(size).alias("bytes"))
+        .where(F.col("bytes") > most_bytes)
+        .select("id", F.col("bytes").alias("too_large"))
     )
-    large = sizes.where(F.col("bytes") > inline_bytes).select(
-        "id",
-        "lang",
-        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
-        F.lit(True).alias("large"),
+    message = F.concat(
+        F.lit("anchor texts of "), F.col("id"), F.lit(" exceed the bound for one row: use the flat anchors")
     )
-    # an outer join, because Catalyst would push an anti join below the count of equal texts
-    # and so detach it from the exchange that count shares with the sizes
-    salt = F.pmod(F.xxhash64("anchor"), F.lit(SALTS)).cast("int")
-    sized = texts.withColumn("salt", salt).join(large, ["id", "lang", "salt"], "left")
-    inline = (
-        sized.where(F.col("large").isNull())
-        .groupBy("id", "lang")
-        .agg(F.array_sort(F.collect_list(F.struct("anchor", "n"))).alias("texts"))
+    checked = scored.join(large, "id", "left").withColumn(
+        "anchor", F.when(F.col("too_large").isNull(), F.col("anchor")).otherwise(F.raise_error(message))
+    )
+    by_lang = checked.groupBy("id", "lang").agg(
+        F.array_sort(F.collect_list(F.struct("anchor", "n"))).alias("texts")
     )
     repeated = F.flatten(
         F.transform("texts", lambda t: F.array_repeat(t["anchor"], t["n"].cast("int")))
     )
-    return GatheredAnchors(
-        inline=inline.select("id", "lang", repeated.alias("texts")),
-        overflow=sized.where(F.col("large")).select("id", "lang", "anchor", "n"),
-    )
-
-
-def anchors_per_document(inline: DataFrame) -> DataFrame:
-    """One row per id: ``anchors ARRAY<STRUCT<lang, texts>>`` sorted by language."""
-    return inline.groupBy("id").agg(
-        F.array_sort(F.collect_list(F.struct("lang", "texts"))).alias("anchors")
+    return (
+        by_lang.select("id", "lang", repeated.alias("texts"))
+        .groupBy("id")
+        .agg(F.array_sort(F.collect_list(F.struct("lang", "texts"))).alias("anchors"))
     )

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from webloom import schema as S
 from webloom.functions import html
 from webloom.functions.language import LanguageModel
-from webloom.functions.text import strip_controls, truncate_snippet
+from webloom.functions.text import strip_controls, truncate_snippet, utf16_length
 
 
 def with_markup(pages: DataFrame, body: str = "body") -> DataFrame:
@@ -101,6 +101,6 @@ def with_head_fields(extracted: DataFrame, heading_separator: str = "") -> DataF
 def with_page_fields(extracted: DataFrame) -> DataFrame:
     """The page columns of the index document; run it after the text filters."""
     filled = with_head_fields(extracted).withColumn(
-        "body_length", F.char_length("main_text").cast("bigint")
+        "body_length", utf16_length(F.col("main_text"))
     )
     return filled.withColumnRenamed("main_text", "body").select(*S.PAGE_COLUMNS)

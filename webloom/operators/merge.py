@@ -9,13 +9,20 @@ from pyspark.sql import DataFrame, Window, functions as F
 TEXTS = ["body", "full_body", "headings", "title", "meta_desc", "meta_keywords"]
 
 
+BUILD = "build"
+
+
 def merge_duplicates(pages: DataFrame) -> DataFrame:
     """Keep one whole page per id: the latest date, ties broken by stable columns.
 
+    Pages of several builds carry the number of theirs in ``build``: the last build that has an
+    id wins it, and the date decides within that build.
+
     Catalyst turns the rank filter into a per-task limit of one row per id before the
     shuffle, so even an id with a third of all pages sends one row per task.
     """
-    order = [
+    order = [F.desc(BUILD)] if BUILD in pages.columns else []
+    order += [
         F.desc_nulls_last("date"),
         F.desc_nulls_last("warc_record_id"),
         F.desc_nulls_last("warc_target_uri"),
@@ -26,10 +33,16 @@ def merge_duplicates(pages: DataFrame) -> DataFrame:
         pages.withColumn("texts_md5", F.md5(F.concat_ws("\x1f", *TEXTS)))
         .withColumn("rank", rank)
         .where(F.col("rank") == 1)
-        .drop("rank", "texts_md5")
+        .drop("rank", "texts_md5", BUILD)
     )
 
 
+def merge_builds(builds: list[DataFrame]) -> DataFrame:
+    """Pages of several builds to one page per id, through a single shuffle of their texts."""
+    numbered = [b.withColumn(BUILD, F.lit(i)) for i, b in enumerate(builds)]
+    return merge_duplicates(reduce(DataFrame.unionByName, numbered))
+
+
 def join_side(pages: DataFrame, side: DataFrame | None, column: str, kind: str) -> DataFrame:
     """Left join with a side input unique on ``id``; a missing input gives NULLs."""
     if side is None:

@@ -4,16 +4,20 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import replace
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from webloom.functions.language import LanguageModel
+from webloom.operators import merge
 from webloom.plans import index_build as B
 from webloom.session import checkpoint_dir
 from webloom.sinks import documents as D
 from webloom.sources.containers import Batch
 
+# Files that the anchors of one id may be spread over within their bucket.
+ANCHOR_FILES = 32
+
 RecordsOf = Callable[[Batch], DataFrame]
 
 
@@ -21,58 +25,84 @@ def batches(number_of: int, partitions: int, strict: bool = False) -> list[Batch
     return [Batch(n, number_of, partitions, strict) for n in range(1, number_of + 1)]
 
 
-def build_all(
+def build_tables(
     records_of: RecordsOf,
     inputs: B.Inputs,
     model: LanguageModel,
     uuid_prefix: str,
     slices: list[Batch],
-) -> DataFrame:
-    """The index after all batches as one lazy frame, later batches replacing documents.
+) -> tuple[DataFrame, DataFrame | None]:
+    """Documents and flat anchors after all batches, later batches replacing documents.
 
-    The side inputs are the same frames in every batch, so Spark shuffles them once.
+    The pages of all batches are merged in one shuffle, and the sides are joined once.
     """
     sides = B.read_sides(inputs, model)
-    return D.latest(
-        *(
-            B.attach_sides(B.build_pages(records_of(b), model, uuid_prefix), sides)
-            for b in slices
-        )
-    )
+    pages = merge.merge_builds([B.extract_pages(records_of(b), model, uuid_prefix) for b in slices])
+    documents = B.attach_ranks(pages, sides)
+    return documents, None if sides.anchors is None else B.index_anchors(documents, sides)
+
+
+def build_all(
+    records_of: RecordsOf,
+    inputs: B.Inputs,
+    model: LanguageModel,
+    uuid_prefix: str,
+    slices: list[Batch],
+) -> DataFrame:
+    """``build_tables`` as one frame of documents with nested anchors: all of them, or an error."""
+    pages = merge.merge_builds([B.extract_pages(records_of(b), model, uuid_prefix) for b in slices])
+    return B.attach_sides(pages, B.read_sides(inputs, model))
+
+
+@dataclass
+class StoredSides:
+    """Side inputs written once for many batches; ``drop`` removes what was written."""
+
+    sides: B.Sides
+    tables: list[str]
+    folder: str
+
+    def drop(self, spark: SparkSession) -> None:
+        for table in self.tables:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def store_sides(spark: SparkSession, sides: B.Sides) -> B.Sides:
+def store_sides(spark: SparkSession, sides: B.Sides, folder: str | None = None) -> StoredSides:
     """Write the prepared side inputs once, to be read by every batch.
 
-    They go to the shared checkpoint folder, so batches survive the loss of executors
-    without parsing the side inputs again. Inputs joined by id are bucketed by it, into as
-    many buckets as a shuffle has partitions: no batch has to shuffle or sort them.
+    They go to ``folder``, else to the shared checkpoint folder, so batches survive the loss of
+    executors without parsing the side inputs again. Inputs joined by id are bucketed by it, into
+    as many buckets as a shuffle has partitions: no batch has to shuffle or sort them. Anchors are
+    scored while they are written, and all else about them is read from there.
     """
     run = f"webloom_sides_{uuid.uuid4().hex}"
-    folder = f"{checkpoint_dir(spark).rstrip('/')}/{run}"
+    folder = f"{(folder or checkpoint_dir(spark)).rstrip('/')}/{run}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tables: list[str] = []
 
-    def bucketed(frame: DataFrame | None, name: str) -> DataFrame | None:
+    def bucketed(frame: DataFrame | None, name: str, *salt: Column) -> DataFrame | None:
         if frame is None:
             return None
         # one task per bucket, so that each bucket is one sorted file
-        writer = frame.repartition(buckets, "id").write.bucketBy(buckets, "id").sortBy("id")
+        writer = frame.repartition(buckets, "id", *salt).write.bucketBy(buckets, "id").sortBy("id")
         writer.option("path", f"{folder}/{name}").saveAsTable(f"{run}_{name}")
+        tables.append(f"{run}_{name}")
         return spark.table(f"{run}_{name}")
 
-    ids = None if sides.anchor_ids is None else sides.anchor_ids.distinct()
-    overflow = None
-    if sides.anchors is not None:
-        sides.anchors.overflow.write.parquet(f"{folder}/overflow")
-        overflow = spark.read.parquet(f"{folder}/overflow")
-    return replace(
+    # anchors are not unique on id: a hot id is dealt to several files of its bucket
+    spread = F.pmod(F.xxhash64("anchor"), F.lit(ANCHOR_FILES))
+    anchors = bucketed(sides.anchors, "anchors", spread)
+    ids = None if anchors is None else bucketed(anchors.select("id").distinct(), "anchor_ids")
+    stored = replace(
         sides,
         spam=bucketed(sides.spam, "spam"),
         page_ranks=bucketed(sides.page_ranks, "page_ranks"),
-        anchors=sides.anchors and replace(sides.anchors, overflow=overflow),
-        anchor_rows=bucketed(sides.anchor_rows, "anchors"),
-        anchor_ids=bucketed(ids, "anchor_ids"),
+        anchors=anchors,
+        anchor_ids=ids,
     )
+    return StoredSides(stored, tables, folder)
 
 
 def write_all(
@@ -82,23 +112,28 @@ def write_all(
     uuid_prefix: str,
     slices: list[Batch],
     path: str,
+    folder: str | None = None,
 ) -> list[dict[str, int]]:
     """Run the batches one after the other; read the result with ``read_latest``.
 
-    Documents go to ``<path>/documents``, anchors beyond the row bound to
-    ``<path>/anchor_overflow``, one generation per batch in both. Returns the counters of
-    each batch, counted while its documents were written.
+    Documents go to ``<path>/documents`` and their anchors, as flat rows, to ``<path>/anchors``,
+    one generation per batch in both. Returns the counters of each batch, counted while its
+    documents were written; ``job_counters`` is exact where executors may be lost meanwhile.
     """
     spark = inputs.records.sparkSession
-    sides = store_sides(spark, B.read_sides(inputs, model))
+    stored = store_sides(spark, B.read_sides(inputs, model), folder)
     reports = []
-    for b in slices:
-        watch = B.Watch()
-        pages = B.build_pages(records_of(b), model, uuid_prefix, watch)
-        D.write_generation(watch.finish(B.attach_sides(pages, sides)), f"{path}/documents", b.number)
-        written = spark.read.parquet(f"{path}/documents/generation={b.number}")
-        if sides.anchors is not None:
-            overflow = B.anchor_overflow(written, sides)
-            D.write_generation(overflow, f"{path}/anchor_overflow", b.number)
-        reports.append(watch.counters(B.orphan_count(written, sides)))
+    try:
+        for b in slices:
+            watch = B.Watch()
+            pages = B.build_pages(records_of(b), model, uuid_prefix, watch)
+            documents = watch.finish(B.attach_ranks(pages, stored.sides))
+            D.write_generation(documents, f"{path}/documents", b.number)
+            written = spark.read.parquet(f"{path}/documents/generation={b.number}")
+            if stored.sides.anchors is not None:
+                anchors = B.index_anchors(written, stored.sides)
+                D.write_generation(anchors, f"{path}/anchors", b.number)
+            reports.append(watch.counters(B.orphan_count(written, stored.sides)))
+    finally:
+        stored.drop(spark)
     return reports

@@ -79,6 +79,10 @@ def detected_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.with_anchor_langs(A.cut_anchors(parsed_anchors(spark, sf_dir)), model(spark, sf_dir))
 
 
+def scored_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.scored_anchors(A.cut_anchors(parsed_anchors(spark, sf_dir)), model(spark, sf_dir))
+
+
 def spam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranks.highest(ranks.parse_spam(demo.spam_lines(spark, sf_dir)))
 
@@ -371,8 +375,8 @@ def live_anchors(spark, sf_dir):
 
 @query
 def anchors_by_lang(spark, sf_dir):
-    gathered = A.gather_anchors(detected_anchors(spark, sf_dir)).inline
-    return gathered.select(
+    nested = A.nested_anchors(scored_anchors(spark, sf_dir))
+    return nested.select("id", F.inline("anchors")).select(
         "id",
         "lang",
         F.size("texts").cast("bigint").alias("n_texts"),
@@ -397,8 +401,8 @@ def join_page_rank(spark, sf_dir):
 
 @query
 def join_anchors(spark, sf_dir):
-    gathered = A.gather_anchors(detected_anchors(spark, sf_dir)).inline
-    joined = keyed(spark, sf_dir).select("id").join(A.anchors_per_document(gathered), "id", "left")
+    nested = A.nested_anchors(scored_anchors(spark, sf_dir))
+    joined = keyed(spark, sf_dir).select("id").join(nested, "id", "left")
     return joined.select(
         "id",
         F.coalesce(F.size("anchors"), F.lit(0)).cast("bigint").alias("n_langs"),
@@ -450,6 +454,11 @@ def index_documents(spark, sf_dir):
     return flat(B.index_documents(inputs(spark, sf_dir), model(spark, sf_dir), PREFIX))
 
 
+@query
+def index_anchors(spark, sf_dir):
+    return B.index_tables(inputs(spark, sf_dir), model(spark, sf_dir), PREFIX)[1]
+
+
 @query
 def index_documents_batch(spark, sf_dir):
     given = inputs(spark, sf_dir)
@@ -469,6 +478,4 @@ def index_json(spark, sf_dir):
 
 @query
 def upsert_documents(spark, sf_dir):
-    first = merge.merge_duplicates(pages(spark, sf_dir, 1))
-    second = merge.merge_duplicates(pages(spark, sf_dir, 2))
-    return D.latest(first, second)
+    return merge.merge_builds([pages(spark, sf_dir, 1), pages(spark, sf_dir, 2)])

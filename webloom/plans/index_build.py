@@ -25,13 +25,12 @@ class Inputs:
 class Sides:
     """Parsed side inputs and the ids they mention.
 
-    ``spam``, ``page_ranks`` and ``anchor_rows`` are unique on ``id``.
+    ``spam`` and ``page_ranks`` are unique on ``id``, ``anchors`` on ``id`` and text.
     """
 
     spam: DataFrame | None = None
     page_ranks: DataFrame | None = None
-    anchors: A.GatheredAnchors | None = None
-    anchor_rows: DataFrame | None = None
+    anchors: DataFrame | None = None
     anchor_ids: DataFrame | None = None
 
     @property
@@ -41,7 +40,7 @@ class Sides:
 
 def read_sides(inputs: Inputs, model: LanguageModel, mode: str = "permissive") -> Sides:
     """Parse the side inputs. Every step before the grouping by id is narrow."""
-    spam = pr = gathered = rows = anchor_ids = None
+    spam = pr = scored = anchor_ids = None
     if inputs.spam is not None:
         spam = ranks.highest(ranks.parse_spam(inputs.spam, mode))
     if inputs.page_ranks is not None:
@@ -49,9 +48,8 @@ def read_sides(inputs: Inputs, model: LanguageModel, mode: str = "permissive") -
     if inputs.anchors is not None:
         parsed = A.parse_anchors(inputs.anchors)
         anchor_ids = parsed.select("id")
-        gathered = A.gather_anchors(A.with_anchor_langs(A.cut_anchors(parsed), model))
-        rows = A.anchors_per_document(gathered.inline)
-    return Sides(spam, pr, gathered, rows, anchor_ids)
+        scored = A.scored_anchors(A.cut_anchors(parsed), model)
+    return Sides(spam, pr, scored, anchor_ids)
 
 
 class Watch:
@@ -113,19 +111,35 @@ def extract_pages(
     )
 
 
-def attach_sides(pages: DataFrame, sides: Sides) -> DataFrame:
-    """Left-join all side inputs on ``id``.
+def attach_ranks(pages: DataFrame, sides: Sides) -> DataFrame:
+    """Left-join the ranks on ``id``.
 
     Pages arrive hash-partitioned by id from the duplicate merge and every side is unique on
     id, so the joins reuse that partitioning: the page texts cross the network once.
     """
     joined = merge.join_side(pages, sides.spam, "spam_rank", "bigint")
-    joined = merge.join_side(joined, sides.page_ranks, "page_rank", "float")
+    return merge.join_side(joined, sides.page_ranks, "page_rank", "float")
+
+
+def with_anchors(documents: DataFrame, anchors: DataFrame | None) -> DataFrame:
+    """``documents`` with all their anchors nested in one column; an error if one has too many."""
+    nested = None if anchors is None else A.nested_anchors(anchors)
     return merge.join_side(
-        joined, sides.anchor_rows, "anchors", "array<struct<lang:string,texts:array<string>>>"
+        documents, nested, "anchors", "array<struct<lang:string,texts:array<string>>>"
     )
 
 
+def attach_sides(pages: DataFrame, sides: Sides) -> DataFrame:
+    """Ranks and nested anchors."""
+    return with_anchors(attach_ranks(pages, sides), sides.anchors)
+
+
+def index_anchors(documents: DataFrame, sides: Sides) -> DataFrame:
+    """``uuid, lang, anchor, n``: the anchors of all documents as flat rows, whatever their number."""
+    keys = documents.select("id", "uuid")
+    return keys.join(sides.anchors, "id").select("uuid", "lang", "anchor", "n")
+
+
 def build_pages(
     records: DataFrame, model: LanguageModel, uuid_prefix: str, watch: Watch | None = None
 ) -> DataFrame:
@@ -134,20 +148,21 @@ def build_pages(
 
 
 def index_documents(inputs: Inputs, model: LanguageModel, uuid_prefix: str) -> DataFrame:
-    """The index documents of one build.
+    """The index documents of one build, anchors nested: whole documents, or an error.
 
-    Anchor texts beyond the size of one row are in ``anchor_overflow``.
+    Where a document may have more anchor texts than fit one row, take ``index_tables``.
     """
     pages = build_pages(inputs.records, model, uuid_prefix)
     return attach_sides(pages, read_sides(inputs, model))
 
 
-def anchor_overflow(documents: DataFrame, sides: Sides) -> DataFrame:
-    """``uuid, lang, anchor, n`` of anchors too many for the row of their document.
-
-    Empty unless the anchors of a document in one language exceed the bound for one array.
-    """
-    return documents.select("id", "uuid").join(sides.anchors.overflow, "id").drop("id")
+def index_tables(
+    inputs: Inputs, model: LanguageModel, uuid_prefix: str
+) -> tuple[DataFrame, DataFrame | None]:
+    """Documents with their ranks, and their anchors as flat rows: works at any size."""
+    sides = read_sides(inputs, model)
+    documents = attach_ranks(build_pages(inputs.records, model, uuid_prefix), sides)
+    return documents, None if sides.anchors is None else index_anchors(documents, sides)
 
 
 def record_outcomes(records: DataFrame, model: LanguageModel) -> DataFrame:

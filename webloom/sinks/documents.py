@@ -54,7 +54,10 @@ def language_field(value: str) -> Column:
 
 
 def stored_form(documents: DataFrame) -> DataFrame:
-    """Documents with fields named by language; fields without a value stay NULL."""
+    """Documents with fields named by language; fields without a value stay NULL.
+
+    Documents whose anchors are kept as flat rows have no anchor field.
+    """
     anchors = F.map_from_entries(
         F.transform("anchors", lambda a: F.struct(a["lang"], a["texts"]))
     )
@@ -62,7 +65,7 @@ def stored_form(documents: DataFrame) -> DataFrame:
         KEY,
         *PLAIN_FIELDS,
         *(language_field(v).alias(k) for k, v in LANGUAGE_FIELDS.items()),
-        anchors.alias(ANCHOR_FIELD),
+        *([anchors.alias(ANCHOR_FIELD)] if "anchors" in documents.columns else []),
     )
 
 
@@ -110,11 +113,19 @@ def write_store(documents: DataFrame, index: str, overrides: dict[str, str] | No
     writer.options(**store_options(index, overrides)).save()
 
 
-def write_json(stored: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
-    """JSON documents as Parquet rows ``uuid, document``."""
+def write_json(
+    stored: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE, anchors: DataFrame | None = None
+) -> None:
+    """JSON documents as Parquet rows ``uuid, document`` in ``<path>/documents``.
+
+    Flat ``anchors`` become rows ``uuid, document`` of their own in ``<path>/anchors``, one per
+    distinct text, with its language and number of lines.
+    """
     no_speculation(stored.sparkSession)
-    writer = as_json(stored).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
-    writer.parquet(path)
+    frames = {"documents": stored} | ({} if anchors is None else {"anchors": anchors})
+    for name, frame in frames.items():
+        writer = as_json(frame).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
+        writer.parquet(f"{path.rstrip('/')}/{name}")
 
 
 def write_generation(documents: DataFrame, path: str, generation: int) -> None:
@@ -127,8 +138,13 @@ def write_generation(documents: DataFrame, path: str, generation: int) -> None:
     documents.write.mode("overwrite").parquet(f"{path.rstrip('/')}/generation={generation}")
 
 
+def compact(spark: SparkSession, path: str, target: str) -> None:
+    """Write the current documents of the index at ``path`` once, as generation 0 of ``target``."""
+    write_generation(read_latest(spark, path), target, 0)
+
+
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """The index at ``path``: for each key, the document of its newest generation.
+    """The index at ``path``: for each key, the rows of its newest generation.
 
     Only keys are shuffled to find replaced documents. Keys with one generation drop out
     of that list, so it is short unless batches overlap, and Catalyst can then send it to
@@ -137,8 +153,8 @@ def read_latest(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.parquet(path)
     newest = (
         rows.groupBy(KEY)
-        .agg(F.max("generation").alias("newest"), F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > 1)
+        .agg(F.max("generation").alias("newest"), F.min("generation").alias("oldest"))
+        .where(F.col("newest") > F.col("oldest"))
         .select(KEY, "newest")
     )
     current = F.col("generation") == F.coalesce("newest", "generation")

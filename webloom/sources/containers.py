@@ -58,15 +58,30 @@ def batch_number(partition: Column, batches: int, partitions: int, strict: bool
     return (inside if strict else F.coalesce(inside, F.lit(batches))).cast("bigint")
 
 
+def _pairs(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Key and value of sequence files of texts, read within the JVM."""
+    jvm, context = spark._jvm, spark.sparkContext._jsc.sc()
+    text = jvm.org.apache.spark.WritableConverter.stringWritableConverterFn()
+    kind = jvm.scala.reflect.ClassTag.apply(jvm.java.lang.Class.forName("java.lang.String"))
+    least = spark.sparkContext.defaultMinPartitions
+    rows = context.sequenceFile(",".join(paths), least, kind, kind, text, text)
+    encoders = jvm.org.apache.spark.sql.Encoders
+    pair = encoders.tuple(encoders.STRING(), encoders.STRING())
+    return DataFrame(spark._jsparkSession.createDataset(rows, pair).toDF(), spark).toDF("key", "value")
+
+
 def read_records(spark: SparkSession, folder: str, batch: Batch = Batch()) -> DataFrame:
     """``key, value`` of the containers in a batch; only their files are opened.
 
-    Sequence files pass through Python workers. Where many runs share the input, convert it
-    once with ``to_parquet`` and read that instead.
+    A batch without containers gives no rows. Sequence files have no reader in the DataFrame API,
+    so classic sessions reach it through the JVM; others take them through Python workers.
     """
-    pairs = spark.sparkContext.sequenceFile(
-        ",".join(batch.paths(folder)), TEXT_CLASS, TEXT_CLASS
-    )
+    paths = batch.paths(folder)
+    if not paths:
+        return spark.createDataFrame([], RECORDS_DDL)
+    if hasattr(spark, "_jsparkSession"):
+        return _pairs(spark, paths)
+    pairs = spark.sparkContext.sequenceFile(",".join(paths), TEXT_CLASS, TEXT_CLASS)
     return spark.createDataFrame(pairs, RECORDS_DDL)
 
 
@@ -74,16 +89,13 @@ def to_parquet(spark: SparkSession, folder: str, target: str, batch: Batch = Bat
     """Convert containers to Parquet partitioned by container number, as one job.
 
     A batch then becomes a partition filter, ``Batch.contains(col("container"))``, that
-    prunes folders, and the pages never enter Python to be read. No rows are shuffled: a
-    task reads a part of one container and writes to the folder of that container.
+    prunes folders. A single batch converts whatever containers the folder holds: their numbers
+    come from the paths. No rows are shuffled: a task reads a part of one container and writes to
+    the folder of that container.
     """
-    context = spark.sparkContext
-
-    def container(i: int):
-        path = f"{folder.rstrip('/')}/{CONTAINER.format(i)}"
-        pairs = context.sequenceFile(path, TEXT_CLASS, TEXT_CLASS)
-        return pairs.map(lambda pair: (i, *pair))
-
-    rows = context.union([container(i) for i in range(*batch.bounds)])
-    frame = spark.createDataFrame(rows, f"container INT, {RECORDS_DDL}")
+    paths = batch.paths(folder)
+    if not paths:
+        return
+    number = F.regexp_extract(F.input_file_name(), r"data-r-(\d+)/data", 1).cast("int")
+    frame = _pairs(spark, paths).select(number.alias("container"), "key", "value")
     frame.write.mode("overwrite").partitionBy("container").parquet(target)

@@ -56,14 +56,25 @@ def _edited_html() -> Column:
     metas = F.expr(
         """concat('<meta name="keywords" content="k', cast(page_id % 5 AS STRING), ',  z">',
         '<meta name="description" content="', repeat(concat('word', cast(page_id % 10 AS STRING), ' '),
-        cast(page_id % 200 AS INT)), '"><style>')"""
+        cast(page_id % 200 AS INT)), CASE WHEN page_id % 5 = 4 THEN ' > more' ELSE '' END, '"><style>')"""
     )
     extra = F.expr(
         """concat('<h3>Third ', page_id, '</h3><h2> Second  ', page_id,
-        '</h2><img src="i.png" alt="pic ', page_id, '"></article>')"""
+        '</h2><img src="i.png" alt="pic ', page_id, CASE WHEN page_id % 4 = 3 THEN ' > next' ELSE '' END,
+        '"><p>The picture above shows what this page is about<a title="up > down" href=x>',
+        CASE WHEN page_id % 3 = 1 THEN ' 😀' ELSE '' END, ' and the link</a></p></article>')"""
     )
     s = F.replace(title, F.lit("<style>"), metas)
     s = F.replace(s, F.lit("</article>"), extra)
+    # the end of the head and the start of the body are optional; text may stand between them
+    s = (
+        F.when(F.expr("page_id % 17 = 16"), F.replace(s, F.lit("</head><body>"), F.lit("")))
+        .when(
+            F.expr("page_id % 19 = 18"),
+            F.replace(s, F.lit("</head><body>"), F.lit("</head><div>Banner before the body</div><body>")),
+        )
+        .otherwise(s)
+    )
     padding = F.repeat(F.lit("<!-- pad -->"), MAX_RECORD_BYTES // 12 + 1)
     return (
         F.when(F.expr("page_id % 31 = 30"), F.lit("<html><body>x</body></html>"))
@@ -96,11 +107,14 @@ def record_fields(spark: SparkSession, sf_dir: str, visit: int = 1) -> DataFrame
         .otherwise(F.col("url"))
         .alias("target_uri"),
         F.when(F.expr("page_id % 10 = 9"), null)
+        .when(F.expr("page_id % 21 = 20"), F.lit("text/html\t; charset=x"))
         .when(F.expr("page_id % 3 = 0"), F.lit("text/html; charset=UTF-8"))
         .otherwise(F.lit(" text/html "))
         .alias("content_type"),
         F.when(F.expr("page_id % 12 = 11"), null)
         .when(F.expr("page_id % 8 = 7"), F.lit("not a date"))
+        .when(F.expr("page_id % 25 = 24"), F.lit("Tuesday, 2 January 2024 03:04:05 GMT, or so"))
+        .when(F.expr("page_id % 25 = 23"), F.lit("Thu, 32 Jan 2024 25:04:05 +0100"))
         .otherwise(F.expr(f"concat({DATES[visit]}, {_digits('page_id % 60', 2)}, ' GMT')"))
         .alias("http_date"),
         body.alias("body"),
