@@ -65,7 +65,7 @@ class KdTree:
             bound = np.maximum(self.low * query, self.high * query).sum(1)
             if not exact:
                 bound = bound + np.abs(bound) * 1e-9 + self.largest * np.abs(query).sum() * 1e-9
-        bound = np.where(np.isnan(bound), np.inf, bound)
+        bound = np.clip(np.where(np.isnan(bound), np.inf, bound), _LOW, _HIGH)  # as scores are cut
         best: list[tuple[int, int]] = []  # (score, -id), the worst first
         for leaf in np.argsort(-bound, kind="stable"):
             worst = max(least, best[0][0] if len(best) == k else -np.inf)
