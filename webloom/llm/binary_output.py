@@ -103,7 +103,8 @@ def decoded(shards: DataFrame, digest: bool = False) -> DataFrame:
                 shard = grammar.Shard.read(row["shard"])
                 start = np.cumsum(shard.doc_ids) - shard.doc_ids
                 n = len(start)
-                raw = (shard.document(i).astype("<u4").tobytes() for i in range(n))
+                flat = shard.expand(shard.symbols).astype("<u4")
+                raw = (flat[a : a + m].tobytes() for a, m in zip(start, shard.doc_ids))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([row["part"]] * n, pa.int32()),

@@ -22,13 +22,13 @@ MAGIC = b"RPG1"
 ROUNDS = 5
 RULES_PER_ROUND = 2048
 LEAST_COUNT = 8
-_BUCKETS = 20
+_BUCKETS = 18
 
 
 def _frequent(key: np.ndarray, most: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The most frequent keys in ascending order, with the positions that hold one and its index.
 
-    Keys are first counted by a hash of 20 bits: a key is at most as frequent as its bucket, so
+    Keys are first counted by a hash of 18 bits: a key is at most as frequent as its bucket, so
     only buckets that reach the count of the ``most``-th one are counted key by key.
     """
     bucket = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BUCKETS)).astype(np.int32)

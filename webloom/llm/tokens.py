@@ -7,8 +7,9 @@ the concatenated ids of its chunks. Ids are carried as little-endian unsigned 32
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 
-import numpy as np
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
@@ -23,6 +24,16 @@ _IRREGULAR = re.compile(r" (?:\s|\Z)")
 # tokenizers part these before they merge, so each part is looked up on its own.
 _WORD = re.compile(r"([^\W\d_]+)([.,;:!?%&$#*]+)(?:\n([^\W\d_]+))?")
 
+# Letters below are composed already, and one by one in lower case, as the vocabularies want them.
+_NOT_PLAIN, _DOTTED = "\u0250", "\u0130"
+
+
+def as_bytes(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
 
 class _Chunks(dict):
     """Chunk -> id bytes, filled on first use."""
@@ -32,14 +43,14 @@ class _Chunks(dict):
         self.owner, self.before = owner, before
 
     def __missing__(self, chunk: str) -> bytes:
-        parts = _WORD.fullmatch(chunk)
+        parts = None if chunk.isalpha() else _WORD.fullmatch(chunk)
         if parts and parts[1].isalpha() and (parts[3] or "a").isalpha():
             plain = self.owner.first
             out = self[parts[1]] + plain[parts[2]]
             if parts[3]:
                 out += plain["\n"] + plain[parts[3]]
         else:
-            out = np.asarray(self.owner.ids(self.before, chunk), dtype="<u4").tobytes()
+            out = as_bytes(self.owner.ids(self.before, chunk))
         if len(self) >= CHUNKS_KEPT:
             self.clear()
         self[chunk] = out
@@ -53,23 +64,25 @@ class TextEncoder:
         tokenizer = Tokenizer.from_file(path)
         self.spaced, self.tokenizer = spaced, tokenizer
         self.model, self.normalizer = tokenizer.model, tokenizer.normalizer
-        self.letters = ByteLevel(add_prefix_space=False, use_regex=False)
+        # how byte-level pieces write each byte, read off the letters of two bytes and ASCII
+        letters = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.written = {}
+        for c in map(chr, range(0x800)):
+            self.written.update(zip(c.encode(), letters.pre_tokenize_str(c)[0][0]))
+        self.space = self.written[0x20]
         self.first = _Chunks(self, "")
         self.rest = _Chunks(self, " ") if spaced else self.first
 
     def ids(self, before: str, chunk: str) -> list[int]:
-        """A run of letters is one piece to the vocabulary's model; all else takes the whole tokenizer."""
-        if chunk.isalpha():
-            if not self.normalizer:
-                word = chunk
-            else:
-                word = chunk.lower() if chunk.isascii() else self.normalizer.normalize_str(chunk)
-            if word.isalpha():
-                if word.isascii():
-                    word = ("\u0120" if before else "") + word  # how byte-level pieces write a space
-                else:
-                    word = self.letters.pre_tokenize_str(before + word)[0][0]
-                return [t.id for t in self.model.tokenize(word)]
+        """A run of Latin letters is one piece to the vocabulary's model; all else takes the whole
+        tokenizer."""
+        if chunk.isalpha() and max(chunk) < _NOT_PLAIN and _DOTTED not in chunk:
+            word = chunk.lower() if self.normalizer else chunk
+            if not word.isascii():
+                word = "".join(map(self.written.__getitem__, word.encode()))
+            if before:
+                word = self.space + word
+            return [t.id for t in self.model.tokenize(word)]
         return self.tokenizer.encode(before + chunk, add_special_tokens=False).ids
 
     def encode(self, text: str | None) -> bytes:
