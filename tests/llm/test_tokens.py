@@ -2,6 +2,7 @@
 
 import zlib
 from collections import defaultdict
+from functools import cache
 
 import numpy as np
 import pytest
@@ -19,8 +20,11 @@ ODD = [
 ]
 
 
+whole_tokenizer = cache(Tokenizer.from_file)
+
+
 def plain(path, text, end):
-    return Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids + [end]
+    return whole_tokenizer(path).encode(text or "", add_special_tokens=False).ids + [end]
 
 
 @pytest.mark.parametrize("path, spaced", [(BYTES, True), (WORDS, False)])
