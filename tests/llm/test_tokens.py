@@ -42,6 +42,15 @@ def test_chunks_give_the_ids_of_the_whole_text(path, spaced):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("path, spaced", [(BYTES, True), (WORDS, False)])
+def test_every_letter_that_takes_the_short_cut(path, spaced):
+    encoder, whole = tokens.encoder(path, spaced), Tokenizer.from_file(path)
+    for c in filter(str.isalpha, map(chr, range(0x250))):
+        for text in (c, f"a{c}b {c}{c} x{c}."):
+            want = whole.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want, hex(ord(c))
+
+
 def test_a_full_chunk_table_changes_nothing(monkeypatch):
     encoder = tokens.TextEncoder(WORDS, False)
     text = "a few words and a few more words, twice: a few words"

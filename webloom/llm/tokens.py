@@ -43,7 +43,8 @@ class _Chunks(dict):
         self.owner, self.before = owner, before
 
     def __missing__(self, chunk: str) -> bytes:
-        parts = None if chunk.isalpha() else _WORD.fullmatch(chunk)
+        # the lower case of a dotted I ends in a mark, which goes with the punctuation after it
+        parts = None if chunk.isalpha() or _DOTTED in chunk else _WORD.fullmatch(chunk)
         if parts and parts[1].isalpha() and (parts[3] or "a").isalpha():
             plain = self.owner.first
             out = self[parts[1]] + plain[parts[2]]
@@ -64,10 +65,12 @@ class TextEncoder:
         tokenizer = Tokenizer.from_file(path)
         self.spaced, self.tokenizer = spaced, tokenizer
         self.model, self.normalizer = tokenizer.model, tokenizer.normalizer
-        # how byte-level pieces write each byte, read off the letters of two bytes and ASCII
+        # how byte-level pieces write each byte, read off ASCII, the letters of two bytes and one
+        # letter for each first byte of longer ones (U+023A has a lower case of three bytes)
         letters = ByteLevel(add_prefix_space=False, use_regex=False)
         self.written = {}
-        for c in map(chr, range(0x800)):
+        longer = [0x800, *range(0x1000, 0xD000, 0x1000), 0xD000, 0xE000, 0xF000]
+        for c in map(chr, [*range(0x800), *longer, *range(0x10000, 0x110000, 0x10000)]):
             self.written.update(zip(c.encode(), letters.pre_tokenize_str(c)[0][0]))
         self.space = self.written[0x20]
         self.first = _Chunks(self, "")
