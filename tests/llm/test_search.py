@@ -167,6 +167,28 @@ def test_top_k_of_odd_rows(llm_spark, monkeypatch):
     assert sorted((r["rank"], r.vec_id, r.score) for r in twice) == [(1, 1, 32768), (2, 1, 32768), (3, 2, 16384)]
 
 
+def test_a_hot_id_spreads_over_shards(llm_spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 100)
+    rng = np.random.default_rng(3)
+    rows = [(7 if i % 3 == 0 else i, rng.normal(size=4).tolist()) for i in range(1, 1800)]
+    search = topk._search
+
+    def watched(k):
+        run = search(k)
+
+        def limited(queries, vectors):
+            if len(vectors) > 200:
+                raise ValueError(f"{len(vectors)} rows in a shard of 100")
+            return run(queries, vectors)
+
+        return limited
+
+    monkeypatch.setattr(topk, "_search", watched)
+    df = llm_spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    found = topk.top_k(topk.whole_numbers(df, "vec_id", "embedding"), F.col("id") % 50 == 0).collect()
+    assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in found} == plain_top_k(rows)
+
+
 # ---- shards --------------------------------------------------------------------------------------
 
 

@@ -1,7 +1,8 @@
 """Exact top-k search by inner product with KD-trees per shard.
 
-Vectors are split over shards by a hash, each shard of bounded size. A shard builds a KD-tree:
-median splits along the widest dimension, leaves with tight bounding boxes. The largest inner
+Vectors are split over shards by a hash of id and row number, each shard of bounded size. A shard
+builds a KD-tree: median splits along the widest dimension, leaves with tight bounding boxes; only
+the leaves are kept, and a query bounds all of them at once. The largest inner
 product a box allows, the sum over dimensions of the larger of query * low and query * high, orders
 the boxes best first and ends the search once no box can reach the k-th score so far.
 
@@ -129,14 +130,15 @@ def _search(k: int):
 
 def top_k(vectors: DataFrame, asks: Column, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows ``id, v, dim`` where ``asks`` holds."""
-    rows = common.stored(vectors, "vectors")
+    # the number is written with the row, so it stays the same wherever the row is read again
+    rows = common.stored(vectors.withColumn("salt", F.monotonically_increasing_id()), "vectors")
     shards = max(1, -(-rows.count() // SHARD_ROWS))
     queries = common.stored(
         rows.where(asks).withColumn("ask", F.monotonically_increasing_id()), "queries"
     )
     blocks = max(1, -(-queries.count() // QUERY_ROWS))
-    # a bucket of a hash of the whole row: equal ids and equal vectors still spread
-    shard = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")
+    # equal ids and equal rows still spread; a query starts in the shard that holds its own row
+    shard = F.pmod(F.xxhash64("id", "salt"), F.lit(shards)).cast("int")
     block = F.pmod(F.xxhash64("ask"), F.lit(blocks)).cast("int")
     every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     every_shard = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
@@ -151,16 +153,15 @@ def top_k(vectors: DataFrame, asks: Column, k: int = K) -> DataFrame:
         )
 
     asked = queries.withColumn("block", block)
-    home = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")
     first = common.stored(
-        meet(asked.withColumn("shard", home).withColumn("least", F.lit(None).cast("double"))), "first"
+        meet(asked.withColumn("shard", shard).withColumn("least", F.lit(None).cast("double"))), "first"
     )
     # the k-th score of the first round, where there are k; rounded down to a double
     bound = first.groupBy("ask").agg(
         F.when(F.count("*") >= k, F.min("score").cast("double") * F.lit(1.0) - F.lit(0.5)).alias("least")
     )
     rest = (
-        asked.withColumn("home", home)
+        asked.withColumn("home", shard)
         .withColumn("shard", every_shard)
         .where("shard <> home")
         .join(bound, "ask", "left")
