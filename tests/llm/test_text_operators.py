@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+from collections import Counter
 import zlib
 
 import numpy as np
@@ -203,6 +204,20 @@ def test_secret_query(llm_spark):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_secret_models_count_every_document(docs_of):
+    texts = [f"an identifier like common_name{'abcdefghijklmnop'[i % 16]} is here" for i in range(1500)]
+    texts[::300] = [f"token=Zk9qX2mV7bT4nR8w{i} some ordinary words" for i in range(5)]
+    counts = Counter()
+    for t in texts:
+        base = [m for m in re.finditer(S.ASSIGN, t) if len(m[2]) >= S.ASSIGN_LEAST]
+        rest = re.sub(S.ASSIGN, " ", t)
+        runs = {(1, m[2]) for m in base} | {(0, r) for r in re.findall(S.IDENTIFIER, rest)}
+        for label, run in runs:
+            places = [0] + [S.ALPHABET.index(c) + 1 for c in run]
+            counts.update((label, b * S._SIDE + a + 1) for b, a in zip(places, places[1:]))
+    assert S.train(docs_of(list(enumerate(texts)))) == pytest.approx(S.ratios(counts))
+
+
 def test_secrets_of_odd_rows(edge_docs, no_docs):
     rows = S.scanned(edge_docs.drop("spans"), S.train(edge_docs)).collect()
     assert len(rows) == edge_docs.count() and not any(r.spans for r in rows)

@@ -2,7 +2,7 @@
 
 Three patterns find secrets by their form (``BASE``). A fourth kind of span needs no keyword: long
 runs of token characters whose characters follow each other as in random strings rather than as in
-ordinary identifiers. Two first-order Markov models are trained from labelled samples, the values
+ordinary identifiers. Two first-order Markov models are counted over all documents, the values
 that the patterns find being the random strings and the identifiers outside them the ordinary
 ones; a run is a secret if the log-likelihood ratio of the two reaches ``LEAST_RATIO``. A model is
 one row of numbers per pair of characters of a fixed alphabet, so its size is fixed.
@@ -40,9 +40,6 @@ _SIDE = len(ALPHABET) + 1  # the first place stands for the start of a run
 RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])[A-Za-z_-]{6,}(?![A-Za-z0-9+/_=-])"
 LEAST_RATIO = 20.0
-# Bounds on fitting only: sampled rows with a base span, and sampled rows for identifiers.
-RANDOM_ROWS = 20_000
-ORDINARY_ROWS = 500
 
 SPAN = "array<struct<start:bigint,rank:int,end:bigint,kind:string,value:string>>"
 
@@ -107,27 +104,29 @@ def _steps(run: Column) -> Column:
 def train(docs: DataFrame) -> list[float]:
     """Log-likelihood ratios of all pairs of characters, random against ordinary."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    some = common.sampled(docs.select("doc_id", "text"), RANDOM_ROWS, "doc_id").select(text.alias("text"))
+    some = docs.select(text.alias("text"))
     values = F.expr("transform(spans, s -> s.value)")
     random = some.select(base_spans(F.col("text")).alias("spans")).select(
         F.lit(1).alias("label"), F.explode(F.array_distinct(values)).alias("run")
     )
-    few = common.sampled(docs.select("doc_id", "text"), ORDINARY_ROWS, "doc_id").select(text.alias("text"))
     rest = F.col("text")
     for pattern in (ASSIGN, ACCESS, HEX):
         rest = F.regexp_replace(rest, pattern, " ")
-    ordinary = few.select(
+    ordinary = some.select(
         F.lit(0).alias("label"),
         F.explode(F.array_distinct(F.regexp_extract_all(rest, F.lit(IDENTIFIER), F.lit(0)))).alias("run"),
     )
+    # equal runs are counted first, on the map side too, so each is taken apart once
     counted = (
         random.unionByName(ordinary)
-        .select("label", F.explode(_steps(F.col("run"))).alias("step"))
+        .groupBy("label", "run")
+        .agg(F.count("*").alias("n"))
+        .select("label", "n", F.explode(_steps(F.col("run"))).alias("step"))
         .groupBy("label", "step")
-        .count()
+        .agg(F.sum("n").alias("n"))
     )
     # at most 2 * 68 * 68 rows
-    return ratios({(r.label, r.step): r["count"] for r in counted.collect()})
+    return ratios({(r.label, r.step): r.n for r in counted.collect()})
 
 
 def ratios(counts: dict[tuple[int, int], int]) -> list[float]:
