@@ -324,6 +324,21 @@ def test_languages_of_held_out_rows(llm_spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_rare_strings_and_rows_of_small_languages_are_learned(docs_of):
+    rows = [(i, f"the words of the text x number {i}") for i in range(100, 140)]
+    one = [i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 3 != 1][:6]
+    for i in one:
+        docs = docs_of(rows + [(i, "jeder wagt zu springen")])
+        docs = docs.withColumn("lang", F.when(F.col("doc_id") == i, "de").otherwise("en"))
+        model = L.train(docs)
+        assert model.languages == ["de", "en"]
+    own = Counter(g for w in L.words("jeder wagt zu springen") for g in L.grams(w))
+    texts = [r.text for r in L._sample(docs).where("lang = 'en' and slice <> 0").collect()]
+    other = Counter(g for t in texts for w in L.words(t) for g in L.grams(w))
+    want = L.Models({"de": own, "en": other}).word_scores(["jeder", "springen", "number"])
+    assert np.allclose(model.word_scores(["jeder", "springen", "number"]), want)
+
+
 def test_languages_of_odd_rows(edge_docs, no_docs, docs_of):
     known = docs_of([(100 + i, f"the words of the text x number {i}") for i in range(40)])
     rows = {r.doc_id: r for r in L.predicted(edge_docs, L.train(known), "doc_id").collect()}

@@ -33,8 +33,8 @@ from webloom.llm import common
 ORDER = 5
 DOCS_PER_LANGUAGE = 2_000
 MOST_LANGUAGES = 1_000
-LEAST_COUNT = 2  # of the longest strings; rarer ones are left to the shorter
-CALIBRATION_SLICES = 5  # one of so many sampled documents is kept from the models
+CALIBRATION_SLICES = 5  # one of so many sampled documents is kept from the models ...
+LEARNED_SLICE = -1  # ... but none of a language with fewer of them, or with none in other slices
 PRECISION = 0.99
 UNKNOWN = "und"
 WORDS_KEPT = 500_000
@@ -259,6 +259,12 @@ def _sample(docs: DataFrame) -> DataFrame:
 def train(docs: DataFrame) -> Models | None:
     """Models and calibration from the rows that may be learned from; None if there are none."""
     sample = common.stored(_sample(docs), "language-sample")
+    # at most MOST_LANGUAGES rows
+    sizes = sample.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(F.col("slice") != 0).alias("learned"))
+    small = [r.lang for r in sizes.where(f"n < {CALIBRATION_SLICES} or learned = 0").collect()]
+    if small:
+        kept = F.when(F.col("lang").isin(small), F.lit(LEARNED_SLICE)).otherwise(F.col("slice"))
+        sample = sample.withColumn("slice", kept)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -279,7 +285,6 @@ def train(docs: DataFrame) -> Models | None:
         .mapInArrow(count, "lang string, gram string, n bigint")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= LEAST_COUNT)
     )
     counts: dict[str, dict[str, int]] = {}
     for lang, gram, n in counted.toLocalIterator(prefetchPartitions=True):
