@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from webloom.llm.binary_output import op7_repair_ids
 from webloom.llm.decontamination import op1_bm25_decontamination
+from webloom.llm.hard_negatives import OP11_SQL, op11_kronecker_negatives
 from webloom.llm.language_id import op8_kneser_ney_language
 from webloom.llm.licences import op5_tfidf_licences
 from webloom.llm.packing import op4_nnls_packing
+from webloom.llm.quality import op13_zstd_quality
+from webloom.llm.resampling import OP12_SQL, op12_radix_resampling
 from webloom.llm.secret_scan import op3_markov_secrets
 from webloom.llm.sharding import op6_permutation_shards
 from webloom.llm.simhash import op10_vantage_near_dedup
@@ -28,6 +31,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_kneser_ney_language": op8_kneser_ney_language,
     "op9_kd_topk": op9_kd_topk,
     "op10_vantage_near_dedup": op10_vantage_near_dedup,
+    "op11_kronecker_negatives": op11_kronecker_negatives,
+    "op12_radix_resampling": op12_radix_resampling,
+    "op13_zstd_quality": op13_zstd_quality,
 }
 
-ORACLE_SQL: dict[str, str] = {"op9_kd_topk": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op9_kd_topk": OP9_SQL,
+    "op11_kronecker_negatives": OP11_SQL,
+    "op12_radix_resampling": OP12_SQL,
+}
