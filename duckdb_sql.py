@@ -493,6 +493,11 @@ SELECTS = {
         FROM (SELECT DISTINCT id, uuid FROM final1) f JOIN anchor_langs a ON f.id = a.id GROUP BY f.uuid, a.lang, a.anchor""",
     "index_documents_batch": f"SELECT {COLUMNS}, spam_rank, {RANKED}, anchors FROM documents_built",
     "index_json": f"SELECT uuid, '{{' || concat_ws(',', {JSON_FIELDS}) || '}}' AS document FROM documents_built d",
+    "upsert_runs": f"""SELECT {", ".join("f." + c for c in COLUMNS.split(", "))}, spam_rank, {RANKED}, n_anchors, n_lines FROM (
+        SELECT f.* FROM final1 f WHERE uuid NOT IN (SELECT f.uuid FROM final2 f JOIN keyed2 k ON f.id = k.id WHERE CAST(k.key AS BIGINT) % 100 % 3 <> 0)
+        UNION ALL SELECT f.* FROM final2 f JOIN (SELECT DISTINCT id FROM keyed2 WHERE CAST(key AS BIGINT) % 100 % 3 <> 0) k ON f.id = k.id) f
+        LEFT JOIN spam s ON f.id = s.id LEFT JOIN page_ranks p ON f.id = p.id
+        LEFT JOIN (SELECT id, count(DISTINCT anchor) AS n_anchors, count(*) AS n_lines FROM anchor_langs GROUP BY id) a ON f.id = a.id""",
     "upsert_documents": f"""SELECT {COLUMNS} FROM final1 WHERE uuid NOT IN (SELECT uuid FROM final2)
         UNION ALL SELECT {COLUMNS} FROM final2""",
 }

@@ -15,7 +15,7 @@ MEDIUM = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, 4)
+    session = local_session("8,3", 4)  # a task may fail twice
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -12,6 +12,7 @@ from webloom.operators import anchors as A, counters, merge
 from webloom.plans import batches as BT, catalog, index_build as B
 from webloom.session import checkpoint_dir, spread
 from webloom.sinks import documents as D
+from webloom.sinks.generations import Index
 from webloom.sources import containers, demo
 
 LONG = "the cat and the dog of the house are in the garden of the other man"
@@ -242,7 +243,7 @@ def test_more_batches_than_partitions(spark, model, container_folder, tmp_path):
     records_of = lambda b: containers.read_records(spark, folder, b)
     BT.write_all(records_of, inputs, model, "p", BT.batches(6, 4), str(tmp_path))
     whole = B.index_documents(inputs, model, "p")
-    assert D.read_latest(spark, f"{tmp_path}/documents").count() == whole.count()
+    assert Index(spark, str(tmp_path)).documents().count() == whole.count()
 
 
 def comparable(df):
@@ -258,12 +259,12 @@ def test_written_batches_equal_one_build(spark, model, container_folder, tmp_pat
     want = {r["counter"]: r["value"] for r in B.job_counters(inputs, model).collect()}
     for _ in range(2):  # a repeated run changes nothing
         reports = BT.write_all(records_of, inputs, model, "p", slices, out)
-        for counter in set(want) - {"NO_CONTENT"}:
+        for counter in set(want) - {"NO_CONTENT"}:  # a batch has all ids of other batches without content
             assert sum(r[counter] for r in reports) == want[counter], counter
-        stored = D.read_latest(spark, f"{out}/documents")
+        stored = Index(spark, out).documents()
         whole, anchors = B.index_tables(inputs, model, "p")
         assert sorted(map(str, stored.select(whole.columns).collect())) == sorted(map(str, whole.collect()))
-        found = D.read_latest(spark, f"{out}/anchors").select(anchors.columns)
+        found = Index(spark, out).anchors().select(anchors.columns)
         assert sorted(map(str, found.collect())) == sorted(map(str, anchors.collect()))
     lazy = BT.build_all(records_of, inputs, model, "p", slices)
     assert comparable(lazy) == comparable(B.index_documents(inputs, model, "p"))
@@ -307,7 +308,7 @@ def test_every_anchor_line_is_delivered_at_any_size(spark, model, crawl, tmp_pat
     lazy = BT.build_tables(lambda b: crawl.records, inputs, model, "p", slices)[1]
     assert delivered(lazy.collect()) == want
     BT.write_all(lambda b: crawl.records, inputs, model, "p", slices, str(tmp_path / "i"), str(tmp_path / "s"))
-    assert delivered(D.read_latest(spark, str(tmp_path / "i/anchors")).collect()) == want
+    assert delivered(Index(spark, str(tmp_path / "i")).anchors().collect()) == want
     assert not any((tmp_path / "s").glob("*"))  # the stored sides are gone
     nested = B.index_documents(inputs, model, "p").where(F.col("uuid") == key).first()["anchors"]
     assert Counter(t for a in nested for t in a["texts"]) == want
@@ -358,27 +359,6 @@ def test_upsert_replaces_and_repeats(spark):
     assert sorted(map(tuple, D.latest(old, new, new).collect())) == want
 
 
-def test_generations(spark, tmp_path):
-    path = str(tmp_path / "index")
-    frame = lambda v, *keys: spark.createDataFrame([(k, v) for k in keys], "uuid string, v int")
-    D.write_generation(frame(1, "a", "b"), path, 1)
-    D.write_generation(frame(2, "b", "c"), path, 2)
-    D.write_generation(frame(2, "b", "c"), path, 2)
-    assert sorted(map(tuple, D.read_latest(spark, path).collect())) == [("a", 1), ("b", 2), ("c", 2)]
-    D.write_generation(frame(3, "a"), path, 1)
-    assert sorted(map(tuple, D.read_latest(spark, path).collect())) == [("a", 3), ("b", 2), ("c", 2)]
-
-
-def test_compacted_generations(spark, tmp_path):
-    frame = lambda v, *keys: spark.createDataFrame([(k, v) for k in keys], "uuid string, v int")
-    D.write_generation(frame(1, "a", "b"), f"{tmp_path}/i", 1)
-    D.write_generation(frame(2, "b", "c"), f"{tmp_path}/i", 2)
-    D.compact(spark, f"{tmp_path}/i", f"{tmp_path}/j")
-    rows = lambda p: sorted(map(tuple, D.read_latest(spark, f"{tmp_path}/{p}").collect()))
-    assert rows("j") == rows("i") == [("a", 1), ("b", 2), ("c", 2)]
-    assert spark.read.parquet(f"{tmp_path}/j").count() == 3
-
-
 def test_store_options():
     options = D.store_options("web", {"es.batch.size.entries": "700", "es.mapping.id": "other"})
     assert options["es.resource"] == "web/_doc"

@@ -98,9 +98,9 @@ def with_head_fields(extracted: DataFrame, heading_separator: str = "") -> DataF
     )
 
 
-def with_page_fields(extracted: DataFrame) -> DataFrame:
-    """The page columns of the index document; run it after the text filters."""
+def with_page_fields(extracted: DataFrame, *keep: str) -> DataFrame:
+    """The page columns of the index document, and ``keep``; run it after the text filters."""
     filled = with_head_fields(extracted).withColumn(
         "body_length", utf16_length(F.col("main_text"))
     )
-    return filled.withColumnRenamed("main_text", "body").select(*S.PAGE_COLUMNS)
+    return filled.withColumnRenamed("main_text", "body").select(*keep, *S.PAGE_COLUMNS)

@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from webloom.session import Scratch
+
 TEXTS = ["body", "full_body", "headings", "title", "meta_desc", "meta_keywords"]
 
 
@@ -43,6 +45,36 @@ def merge_builds(builds: list[DataFrame]) -> DataFrame:
     return merge_duplicates(reduce(DataFrame.unionByName, numbered))
 
 
+# What decides between the pages of an id, after the build; the texts decide what these leave open.
+DECIDING = ["date", "warc_record_id", "warc_target_uri"]
+
+
+def winners(pages: DataFrame, scratch: Scratch) -> DataFrame:
+    """``id, row`` of the page that ``merge_duplicates`` keeps, for stored pages with a unique ``row``.
+
+    Only slim rows are grouped and shuffled, with a map-side part, so an id with a third of all pages
+    sends one row per task. Texts are read, and hashed, of pages that agree in all slim columns.
+    """
+    keys = [*([BUILD] if BUILD in pages.columns else []), *DECIDING]
+    alike = pages.groupBy("id", *keys).agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("row"))
+    # nulls are smallest, and the keys of an id differ, so the number and the row decide nothing
+    best = alike.groupBy("id").agg(F.max(F.struct(*keys, "n", "row")).alias("best"))
+    best = scratch.store(best.select("id", "best.*"), "winners")
+    tied = best.where("n > 1")
+    if tied.isEmpty():
+        return best.select("id", "row")
+    rivals = tied.select(F.col("id").alias("of"), *(F.col(k).alias(f"of_{k}") for k in keys))
+    same = [F.col("id") == F.col("of"), *(F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys)]
+    texts = F.md5(F.concat_ws("\x1f", *TEXTS))
+    by_text = (
+        pages.join(rivals, same)
+        .groupBy("id")
+        .agg(F.max(F.struct(texts.alias("texts"), (-F.col("row")).alias("minus"))).alias("best"))
+        .select("id", (-F.col("best.minus")).alias("row"))
+    )
+    return best.where("n = 1").select("id", "row").unionByName(by_text)
+
+
 def join_side(pages: DataFrame, side: DataFrame | None, column: str, kind: str) -> DataFrame:
     """Left join with a side input unique on ``id``; a missing input gives NULLs."""
     if side is None:

@@ -5,6 +5,7 @@ Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame over whole tab
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -15,8 +16,9 @@ from webloom.functions import headers as H, text as X
 from webloom.functions.language import LanguageModel, profile
 from webloom.operators import anchors as A, content as C, merge, ranks, records as R
 from webloom.plans import batches, index_build as B
-from webloom.session import prepare
+from webloom.session import Scratch, checkpoint_dir, prepare
 from webloom.sinks import documents as D
+from webloom.sinks.generations import Index
 from webloom.sources import containers, demo
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -427,8 +429,10 @@ def orphan_ids(spark, sf_dir):
 
 @query
 def merge_duplicates(spark, sf_dir):
+    scratch = Scratch(spark)
     both = pages(spark, sf_dir, 1).unionByName(pages(spark, sf_dir, 2))
-    return merge.merge_duplicates(both)
+    stored = scratch.store(both.withColumn("row", F.monotonically_increasing_id()), "pages")
+    return stored.join(merge.winners(stored, scratch).drop("id"), "row").drop("row")
 
 
 @query
@@ -476,6 +480,26 @@ def index_json(spark, sf_dir):
     return D.as_json(D.stored_form(built))
 
 
+@query
+def upsert_runs(spark, sf_dir):
+    """Two crawls written to one index by the sink, in batches of different number; the second replaces pages."""
+    given = [inputs(spark, sf_dir, visit) for visit in (1, 2)]
+    fitted, path = model(spark, sf_dir), f"{checkpoint_dir(spark)}/webloom_index_{uuid.uuid4().hex}"
+    container = demo.container_of(F.col("key"))
+    for run, number_of in zip(given, (2, 1)):
+        records = run.records if number_of == 2 else run.records.where(container % 3 != 0)
+        of = lambda b, r=records: r.where(b.contains(container))
+        batches.write_all(of, run, fitted, PREFIX, batches.batches(number_of, demo.CONTAINERS), path)
+    index = Index(spark, path)
+    now = index.snapshot()
+    texts = index.anchors(now).groupBy("uuid").agg(F.count("*").alias("n_anchors"), F.sum("n").alias("n_lines"))
+    return (
+        index.documents(now)
+        .join(texts, "uuid", "left")
+        .select(*S.PAGE_COLUMNS, "spam_rank", _rounded(), "n_anchors", "n_lines")
+    )
+
+
 @query
 def upsert_documents(spark, sf_dir):
     return merge.merge_builds([pages(spark, sf_dir, 1), pages(spark, sf_dir, 2)])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +16,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": str(PAGES_PER_ARROW_BATCH),
+    # a join whose one side is slim hashes that side; the page texts on the other are not sorted
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 
 
@@ -48,6 +51,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="webloom-")
 
 
+class Scratch:
+    """A folder for the steps of one job, in ``folder`` or else in the shared checkpoint folder."""
+
+    def __init__(self, spark: SparkSession, folder: str | None = None):
+        self.spark = spark
+        self.path = f"{(folder or checkpoint_dir(spark)).rstrip('/')}/webloom_{uuid.uuid4().hex}"
+
+    def store(self, frame: DataFrame, name: str) -> DataFrame:
+        """Write a step and read it back: computed once, whatever executors are lost later."""
+        frame.write.parquet(f"{self.path}/{name}")
+        return self.spark.read.schema(frame.schema).parquet(f"{self.path}/{name}")
+
+    def drop(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A session for tests and benchmarks on one machine."""
     builder = (

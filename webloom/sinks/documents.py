@@ -126,36 +126,3 @@ def write_json(
     for name, frame in frames.items():
         writer = as_json(frame).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
         writer.parquet(f"{path.rstrip('/')}/{name}")
-
-
-def write_generation(documents: DataFrame, path: str, generation: int) -> None:
-    """Write the documents of one batch as one generation of the index at ``path``.
-
-    Costs what the batch holds, not what the index holds. Writing a generation again
-    replaces it, so a repeated batch changes nothing.
-    """
-    no_speculation(documents.sparkSession)
-    documents.write.mode("overwrite").parquet(f"{path.rstrip('/')}/generation={generation}")
-
-
-def compact(spark: SparkSession, path: str, target: str) -> None:
-    """Write the current documents of the index at ``path`` once, as generation 0 of ``target``."""
-    write_generation(read_latest(spark, path), target, 0)
-
-
-def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """The index at ``path``: for each key, the rows of its newest generation.
-
-    Only keys are shuffled to find replaced documents. Keys with one generation drop out
-    of that list, so it is short unless batches overlap, and Catalyst can then send it to
-    the documents instead of moving them.
-    """
-    rows = spark.read.parquet(path)
-    newest = (
-        rows.groupBy(KEY)
-        .agg(F.max("generation").alias("newest"), F.min("generation").alias("oldest"))
-        .where(F.col("newest") > F.col("oldest"))
-        .select(KEY, "newest")
-    )
-    current = F.col("generation") == F.coalesce("newest", "generation")
-    return rows.join(newest, KEY, "left").where(current).drop("newest", "generation")
