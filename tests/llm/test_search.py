@@ -12,7 +12,7 @@ import corpus_pipeline
 from tests.conftest import SMALL
 from tests.llm.conftest import EDGE_TEXTS
 from tools.check_oracle import connect, difference
-from webloom.llm import common, components, decontamination, sharding, simhash, topk, vantage
+from webloom.llm import common, components, decontamination, near_copies, sharding, simhash, topk, vantage
 from webloom.llm.queries import ORACLE_SQL, QUERIES
 
 
@@ -47,6 +47,12 @@ def plain_components(fps):
     return roots(len(fps), links.tolist())
 
 
+def plain_kept(rows):
+    from tests.llm.test_near_copies import plain_kept as kept
+
+    return kept(rows)
+
+
 def near(rng, n):
     """Fingerprints in clusters of all sizes, chains included."""
     out = [0, 1, 3, 7, 15]
@@ -115,13 +121,8 @@ def test_fingerprints_of_odd_rows(edge_docs, no_docs, docs_of):
     by_id = {r.doc_id: r.component_id for r in named}
     assert by_id[0] == by_id[1] == by_id[2] == 0 and by_id[7] == by_id[8] == 7
     assert by_id[None] is None
-    for docs in (edge_docs, no_docs):
-        kept = simhash.one_of_each(docs)
-        assert kept.columns == docs.columns
-    kept = sorted((r.doc_id for r in simhash.one_of_each(edge_docs).collect()), key=lambda i: -1 if i is None else i)
-    assert kept == [None, 0, 3, 4, 5, 6, 7]
     tied = docs_of([(None, "a b c d"), (None, "a b c d"), (1, "x y z"), (1, "p q r")])
-    assert sorted(str(r.doc_id) for r in simhash.one_of_each(tied).collect()) == ["1", "1", "None"]
+    assert sorted(str(r.doc_id) for r in near_copies.one_of_each(tied).collect()) == ["1", "1", "None"]
 
 
 # ---- top-k -------------------------------------------------------------------------------------
@@ -249,12 +250,7 @@ def test_pipeline_stages(llm_spark):
             seen = out
     ids = lambda name: {r.doc_id for r in kept[name].select("doc_id").collect()}
     before = {r.doc_id: r.text for r in kept["toxicity"].collect()}
-    fps = {i: plain_fingerprint(t) for i, t in before.items()}
-    order = sorted(fps)
-    groups = defaultdict(list)
-    for i, r in zip(order, plain_components([fps[i] for i in order])):
-        groups[r].append(i)
-    assert ids("near_duplicates") == {min(g) for g in groups.values()}
+    assert ids("near_duplicates") == plain_kept(list(before.items()))[0]
     bench = common.table(llm_spark, SMALL, "benchmark").collect()
     index = decontamination.Index([(b.item_id, b.text) for b in bench])
     assert ids("decontamination") == {i for i in ids("near_duplicates") if not index.leaks(before[i])}

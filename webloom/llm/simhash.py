@@ -38,15 +38,17 @@ SAMPLE_MOST = 1_000_000
 _HASHES_AT_ONCE = 1 << 16
 
 
-def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
-    """The SimHash of a text in UTF-8, as a signed 64-bit number."""
+def shingle_hashes(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
+    """The hashes of all shingles of a text in UTF-8, repeats included."""
     words = (text or b"").lower().split()  # bytes: A-Z only, and ASCII white space only
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     runs = [words[i:] for i in range(shingle)] if len(words) >= shingle else [[b" ".join(words)]]
-    hashes = np.fromiter(
-        (xxhash.xxh64_intdigest(b" ".join(s), SEED) for s in zip(*runs)), dtype="<u8"
-    )
+    return np.fromiter((xxhash.xxh64_intdigest(b" ".join(s), SEED) for s in zip(*runs)), dtype="<u8")
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """The SimHash of shingle hashes, as a signed 64-bit number."""
     ones = np.zeros(64, np.int64)
     for i in range(0, len(hashes), _HASHES_AT_ONCE):
         octets = hashes[i : i + _HASHES_AT_ONCE].view(np.uint8).reshape(-1, 8)
@@ -54,6 +56,10 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
 
 
+def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
+    return fingerprint_of(shingle_hashes(text, shingle))
+
+
 def with_fingerprints(docs: DataFrame, *keep: str) -> DataFrame:
     """The columns ``keep`` with the fingerprint ``fp`` of ``text``."""
 
@@ -124,20 +130,17 @@ def op10_vantage_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text and others) with one row of every component: the one with the smallest id.
+def first_rows(slim: DataFrame, named: DataFrame) -> DataFrame:
+    """One row of every ``root``: the one with the smallest id.
 
-    Rows that share that id are told apart by a hash of their text, and equal rows are kept once.
+    ``slim`` has (doc_id, _mark) and others, ``named`` (doc_id, _mark, root). Rows that share that id are told
+    apart by ``_mark``, a hash of their text, and equal rows are kept once.
     """
-    mark = F.xxhash64("text")
-    slim = docs.withColumn("_mark", mark)
-    rows = common.stored(with_fingerprints(slim, "doc_id", "_mark"), "fingerprints")
-    named = rows.join(near_duplicates(rows), "fp")
     # the first row of each component by (id, text); nulls last, as in the name of a component
     order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col("_mark").alias("m"))
     first = named.groupBy("root").agg(F.min(order).alias("w"))
     winners = first.select(F.col("w.i").alias("_i"), F.col("w.m").alias("_m"))
-    same = rows.groupBy("doc_id", "_mark").agg(F.count("*").alias("n"))
+    same = slim.groupBy("doc_id", "_mark").agg(F.count("*").alias("n"))
     winners = common.stored(
         winners.join(same, F.col("_i").eqNullSafe(F.col("doc_id")) & (F.col("_m") == F.col("_mark")))
         .groupBy("_i", "_m")
@@ -147,6 +150,6 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     hit = slim.join(
         winners, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("_mark") == F.col("_m"))
     )
-    once = hit.where("_n = 1").select(*docs.columns)
-    repeated = hit.where("_n > 1").dropDuplicates(["doc_id", "_mark"]).select(*docs.columns)
+    once = hit.where("_n = 1").select(*slim.columns)
+    repeated = hit.where("_n > 1").dropDuplicates(["doc_id", "_mark"]).select(*slim.columns)
     return once.unionByName(repeated)
