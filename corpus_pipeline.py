@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import common, decontamination, packing, secret_scan, simhash, toxicity
+from webloom.llm import common, decontamination, near_copies, packing, secret_scan, toxicity
 
 
 def _held(docs: DataFrame) -> DataFrame:
@@ -30,8 +30,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id."""
-    return _released(simhash.one_of_each(_held(docs)), docs)
+    """One document of each group of near copies: the one with the smallest id."""
+    return _released(near_copies.one_of_each(_held(docs)), docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
