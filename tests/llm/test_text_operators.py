@@ -1,7 +1,9 @@
 """Decontamination, toxicity, secrets, licences and languages against plain versions."""
 
 import hashlib
+import random
 import re
+import string
 from collections import Counter
 import zlib
 
@@ -165,7 +167,7 @@ def plain_markov(text, base, table):
             place = S.ALPHABET.index(c) + 1
             ratio, before = ratio + table[before * S._SIDE + place], place
         free = not any(b[0] < m.end() and m.start() < b[2] for b in base)
-        if free and ratio >= S.LEAST_RATIO:
+        if free and ratio >= max(S.LEAST_RATIO, S.LEAST_PER_CHARACTER * len(m[0])):
             out.append((m.start(), 3, m.end(), "markov"))
     return out
 
@@ -204,6 +206,42 @@ def test_secret_query(llm_spark):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def plain_shapes(text, words):
+    h = hashlib.md5(text.encode()).hexdigest()
+    d = int(h[:8], 16)
+    if not words:
+        return
+    w = [words[(d + i) % len(words)].lower() for i in range(4)]
+    date = f"{1990 + d % 40}-{1 + d // 40 % 12:02}-{1 + d // 480 % 28:02}"
+    yield 2, "".join(x[0].upper() + x[1:] for x in w)
+    yield 3, "".join(f"/{x}" for x in w) + str(d % 10)
+    yield 4, f"{date}T{d % 24:02}-{d % 60:02}-{d // 60 % 60:02}-{d % 10**9:09}"
+    yield 5, "-".join([h[:8], h[8:12], h[12:16], h[16:20], h[20:]])
+    yield 6, "-".join([*w[:3], date])
+
+
+ORDINARY = [
+    "550e8400-e29b-41d4-a716-446655440000", "/usr/local/lib/python3/dist-packages/numpy", "internationalization",
+    "customer-order-2024-12-31-backup", "2024-01-15T10-30-00-123456789", "HttpServletRequestWrapperFactory",
+    "3f2504e0-4f89-11d3-9a0c-0305e82c3301", "/home/user/projects/data-pipeline/src/main", "0123456789012345678901234",
+    "org_apache_hadoop_mapreduce_lib", "release-candidate-2023-11-05-build-42", "getElementsByTagName_withNamespace",
+]
+
+
+@pytest.mark.parametrize("sf_dir", [SMALL, MEDIUM])
+def test_ordinary_identifiers_are_no_secrets_and_random_ones_are(llm_spark, sf_dir):
+    rng = random.Random(5)
+    letters = string.ascii_letters + string.digits
+    runs = ["".join(rng.choice(letters) for _ in range(20 + i % 21)) for i in range(400)]
+    table = S.train(common.table(llm_spark, sf_dir, "documents"))
+    rows = [(i, f"see {run} here") for i, run in enumerate(ORDINARY + runs)]
+    found = S.scanned(llm_spark.createDataFrame(rows, "doc_id bigint, text string"), table).collect()
+    hit = {r.doc_id: [(s.start, s.end) for s in r.spans] for r in found}
+    assert [run for i, run in enumerate(ORDINARY) if hit[i]] == []
+    caught = [hit[len(ORDINARY) + i] == [(4, 4 + len(run))] for i, run in enumerate(runs)]
+    assert sum(caught) >= 0.95 * len(runs)
+
+
 def test_secret_models_count_every_document(docs_of):
     texts = [f"an identifier like common_name{'abcdefghijklmnop'[i % 16]} is here" for i in range(1500)]
     texts[::300] = [f"token=Zk9qX2mV7bT4nR8w{i} some ordinary words" for i in range(5)]
@@ -211,7 +249,8 @@ def test_secret_models_count_every_document(docs_of):
     for t in texts:
         base = [m for m in re.finditer(S.ASSIGN, t) if len(m[2]) >= S.ASSIGN_LEAST]
         rest = re.sub(S.ASSIGN, " ", t)
-        runs = {(1, m[2]) for m in base} | {(0, r) for r in re.findall(S.IDENTIFIER, rest)}
+        words = list(dict.fromkeys(re.findall(S.IDENTIFIER, rest)))
+        runs = {(1, m[2]) for m in base} | {(0, r) for r in words} | set(plain_shapes(t, words))
         for label, run in runs:
             places = [0] + [S.ALPHABET.index(c) + 1 for c in run]
             counts.update((label, b * S._SIDE + a + 1) for b, a in zip(places, places[1:]))

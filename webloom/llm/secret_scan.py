@@ -2,10 +2,13 @@
 
 Three patterns find secrets by their form (``BASE``). A fourth kind of span needs no keyword: long
 runs of token characters whose characters follow each other as in random strings rather than as in
-ordinary identifiers. Two first-order Markov models are counted over all documents, the values
-that the patterns find being the random strings and the identifiers outside them the ordinary
-ones; a run is a secret if the log-likelihood ratio of the two reaches ``LEAST_RATIO``. A model is
-one row of numbers per pair of characters of a fixed alphabet, so its size is fixed.
+ordinary identifiers. Two first-order Markov models are counted over all documents. The values that
+the patterns find are the random strings. Ordinary are the identifiers outside them and, as prose has
+few with digits and slashes, identifiers of the usual shapes (``SHAPES``) that every document yields:
+names in camel case, paths and dashed names of words drawn from its text by a hash of it, times and
+UUIDs made of that hash. Each shape weighs as much as the plain identifiers. A run is a secret if the
+log-likelihood ratio of the two reaches ``LEAST_RATIO`` and ``LEAST_PER_CHARACTER`` times its length. A
+model is one row of numbers per pair of characters of a fixed alphabet, so its size is fixed.
 
 Spans count code points, end exclusive, and cover the whole match. Defined cases: null texts are
 empty ones and have no span; repeated rows are scanned each; an empty table gives an empty result;
@@ -40,6 +43,10 @@ _SIDE = len(ALPHABET) + 1  # the first place stands for the start of a run
 RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])[A-Za-z_-]{6,}(?![A-Za-z0-9+/_=-])"
 LEAST_RATIO = 20.0
+LEAST_PER_CHARACTER = 1.4
+# What a counted run is labelled with: a random string, a plain identifier, or one of the shapes.
+ORDINARY, RANDOM = 0, 1
+SHAPES = {2: "camel case", 3: "path", 4: "time", 5: "uuid", 6: "dashed"}
 
 SPAN = "array<struct<start:bigint,rank:int,end:bigint,kind:string,value:string>>"
 
@@ -101,36 +108,75 @@ def _steps(run: Column) -> Column:
     return F.array_compact(F.zip_with(before, characters, step))
 
 
+def shapes(words: str, digest: str) -> dict[int, Column]:
+    """An identifier of each shape, of words drawn by the number that begins the hexadecimal ``digest``."""
+    d = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+
+    def word(i: int) -> Column:
+        return F.lower(F.element_at(words, (F.pmod(d + i, F.size(words)) + 1).cast("int")))
+
+    def part(by: int, n: int, width: int, first: int = 0) -> Column:
+        return F.lpad((F.pmod(F.floor(d / by), F.lit(n)) + first).cast("string"), width, "0")
+
+    date = F.concat_ws("-", part(1, 40, 4, 1990), part(40, 12, 2, 1), part(480, 28, 2, 1))
+    time = F.concat_ws("-", part(1, 24, 2), part(1, 60, 2), part(60, 60, 2), part(1, 10**9, 9))
+    groups = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
+    made = [
+        F.concat(*(F.concat(F.upper(F.substring(word(i), 1, 1)), F.substr(word(i), F.lit(2))) for i in range(4))),
+        F.concat(*(F.concat(F.lit("/"), word(i)) for i in range(4)), part(1, 10, 1)),
+        F.concat(date, F.lit("T"), time),
+        F.concat_ws("-", *(F.substring(digest, at, n) for at, n in groups)),
+        F.concat_ws("-", *(word(i) for i in range(3)), date),
+    ]
+    return dict(zip(SHAPES, made))
+
+
 def train(docs: DataFrame) -> list[float]:
     """Log-likelihood ratios of all pairs of characters, random against ordinary."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    some = docs.select(text.alias("text"))
-    values = F.expr("transform(spans, s -> s.value)")
-    random = some.select(base_spans(F.col("text")).alias("spans")).select(
-        F.lit(1).alias("label"), F.explode(F.array_distinct(values)).alias("run")
-    )
+    some = docs.select(text.alias("text")).withColumn("spans", base_spans(F.col("text")))
     rest = F.col("text")
     for pattern in (ASSIGN, ACCESS, HEX):
         rest = F.regexp_replace(rest, pattern, " ")
-    ordinary = some.select(
-        F.lit(0).alias("label"),
-        F.explode(F.array_distinct(F.regexp_extract_all(rest, F.lit(IDENTIFIER), F.lit(0)))).alias("run"),
+    rest = F.when(F.size("spans") > 0, rest).otherwise(F.col("text"))
+    words = F.array_distinct(F.regexp_extract_all(rest, F.lit(IDENTIFIER), F.lit(0)))
+    values = F.array_distinct(F.expr("transform(spans, s -> s.value)"))
+    both = some.select(values.alias("values"), words.alias("words"), F.md5("text").alias("hash"))
+
+    def labelled(runs: str, label: int) -> Column:
+        return F.transform(runs, lambda r: F.struct(F.lit(label).alias("label"), r.alias("run")))
+
+    shaped = [F.struct(F.lit(k).alias("label"), run.alias("run")) for k, run in shapes("words", "hash").items()]
+    runs = F.concat(
+        labelled("values", RANDOM),
+        labelled("words", ORDINARY),
+        F.when(F.size("words") > 0, F.array(*shaped)).otherwise(F.array().cast("array<struct<label:int,run:string>>")),
     )
     # equal runs are counted first, on the map side too, so each is taken apart once
     counted = (
-        random.unionByName(ordinary)
+        both.select(F.inline(runs))
         .groupBy("label", "run")
         .agg(F.count("*").alias("n"))
         .select("label", "n", F.explode(_steps(F.col("run"))).alias("step"))
         .groupBy("label", "step")
         .agg(F.sum("n").alias("n"))
     )
-    # at most 2 * 68 * 68 rows
+    # at most 7 * 68 * 68 rows
     return ratios({(r.label, r.step): r.n for r in counted.collect()})
 
 
 def ratios(counts: dict[tuple[int, int], int]) -> list[float]:
-    """Both models smoothed by the same share of a uniform one, as a flat table of log-ratios."""
+    """Both models smoothed by the same share of a uniform one, as a flat table of log-ratios.
+
+    The counts of each shape are brought to the sum of the plain identifiers and added to those.
+    """
+    plain = sum(n for (label, _), n in counts.items() if label == ORDINARY)
+    weight = {k: plain / max(1, sum(n for (label, _), n in counts.items() if label == k)) for k in SHAPES}
+    mixed: dict[tuple[int, int], float] = {}
+    for (label, s), n in counts.items():
+        at = (RANDOM if label == RANDOM else ORDINARY, s)
+        mixed[at] = mixed.get(at, 0) + n * weight.get(label, 1)
+    counts = mixed
     out = [0.0] * (_SIDE * _SIDE)
     for before in range(_SIDE):
         steps = [before * _SIDE + after + 1 for after in range(1, _SIDE)]
@@ -154,7 +200,7 @@ def markov_spans(text: Column, base: Column, table: list[float]) -> Column:
     return F.filter(
         runs,
         lambda r: ~F.exists(base, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))
-        & (ratio(r["value"]) >= LEAST_RATIO),
+        & (ratio(r["value"]) >= F.greatest(F.lit(LEAST_RATIO), F.length(r["value"]) * LEAST_PER_CHARACTER)),
     )
 
 
