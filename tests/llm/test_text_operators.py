@@ -386,3 +386,9 @@ def test_languages_of_odd_rows(edge_docs, no_docs, docs_of):
     assert L.train(no_docs) is None
     nothing = L.predicted(edge_docs, None, "doc_id").collect()
     assert {(r.lang_pred, r.score) for r in nothing} == {("und", 0.0)}
+
+
+def test_only_letters_make_words():
+    assert L.words("½ ² Ⅷ ٣ _ 12") == []
+    assert L.words("x²y Ⅷtes straße ß1é") == ["x", "y", "tes", "straße", "ß", "é"]
+    assert L.words("ªb Ǆ 語") == ["ªb", "ǆ", "語"]

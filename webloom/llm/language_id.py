@@ -44,7 +44,11 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 def words(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+    """Runs of letters, that is of characters of the categories L*: no number forms, fractions or marks."""
+    found = _WORD.findall((text or "").lower())
+    if all(map(str.isalpha, found)):
+        return found
+    return "".join(c if c.isalpha() else " " for w in found for c in (*w, " ")).split()
 
 
 def grams(word: str, order: int = ORDER) -> list[str]:

@@ -14,12 +14,14 @@ shard over files by a salt, so no task writes them alone.
 from __future__ import annotations
 
 import json
+import uuid
 import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webloom.llm import common
+from webloom.session import checkpoint_dir
 
 SLOTS = 65_537
 SHARDS = 64
@@ -65,13 +67,16 @@ def placed(docs: DataFrame, keys: list[str], shards: list[str], slots: int = SLO
 
 
 def write(placed_docs: DataFrame, path: str, files_per_shard: int = 8) -> None:
-    """One folder per shard; its rows are dealt to ``files_per_shard`` tasks."""
-    salt = F.pmod(F.xxhash64(*placed_docs.columns), F.lit(files_per_shard))
+    """One folder per shard; its rows are dealt to ``files_per_shard`` tasks in turn, equal rows too."""
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(files_per_shard))
     placed_docs.repartition("shard", salt).write.partitionBy("shard").parquet(path)
 
 
 def op6_permutation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Slot and shard of every document."""
+    """Slot and shard of every document, as read back from the folders of the shards."""
     docs = common.table(spark, sf_dir, "documents")
     names = [f"shard-{i:04d}" for i in range(SHARDS)]
-    return placed(docs, ["doc_id"], names).select("doc_id", F.col("slot"), "shard")
+    whole = placed(docs, ["doc_id"], names)
+    path = f"{checkpoint_dir(spark)}/webloom-shards-{uuid.uuid4().hex}"
+    write(whole, path)
+    return spark.read.schema(whole.schema).parquet(path).select("doc_id", "slot", "shard")
