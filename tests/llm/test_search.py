@@ -270,8 +270,12 @@ def test_pipeline_of_odd_rows(llm_spark, edge_docs, no_docs):
         assert packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
 
 
-def test_equal_rows_of_a_shard_are_dealt_to_all_its_tasks(docs_of, tmp_path):
+def test_equal_rows_of_a_shard_are_dealt_to_all_its_tasks(docs_of, llm_spark, tmp_path):
     docs = docs_of([(7, "the same text")] * 3000)
-    sharding.write(sharding.placed(docs, ["doc_id"], ["a", "b"], 13), str(tmp_path / "s"), 4)
-    sizes = [r[1] for r in docs.sparkSession.read.parquet(str(tmp_path / "s")).groupBy(F.input_file_name()).count().collect()]
-    assert sum(sizes) == 3000 and max(sizes) <= 1600 and len(sizes) > 1
+    llm_spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sharding.write(sharding.placed(docs, ["doc_id"], ["a", "b"], 13), str(tmp_path / "s"), 32)
+    finally:
+        llm_spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [r[1] for r in llm_spark.read.parquet(str(tmp_path / "s")).groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 3000 and len(sizes) == 4 and max(sizes) <= 1500

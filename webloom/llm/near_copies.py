@@ -8,7 +8,7 @@ exactly on the sets. Candidates for that check come from buckets:
 * bands of ``ROWS`` minimal hashes. Of pairs at exactly 0.8 some 0.99998 share one of ``BANDS`` bands, of more similar ones more.
 
 Texts with the same set of shingles form a class, and only classes go on. All classes of a bucket are
-compared with the first one, then with the first that is not similar to it, and so on until each is
+compared with the first one, then with the first few that are not similar to it, and so on until each is
 a leader or similar to one. Neither the pairs of a bucket nor its members are ever gathered. Of two
 texts that stay and share a bucket, the later was compared with the earlier and found different. Groups that hang
 together only by links between texts of which neither leads in any bucket stay two groups.
@@ -26,7 +26,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from webloom.llm import common, simhash
@@ -57,7 +57,7 @@ def bands(shingles: np.ndarray) -> list[int]:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """(doc_id, _mark, k1, k2, fp, bands): the set's own 128 bits, the fingerprint and the bands of every text."""
+    """(doc_id, _mark, k1, k2, fp, n, bands): the set's own 128 bits, fingerprint, size and bands of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -66,15 +66,15 @@ def sketched(docs: DataFrame) -> DataFrame:
                 hashes = simhash.shingle_hashes(text, SHINGLE)
                 distinct = np.unique(hashes)
                 key = np.frombuffer(xxhash.xxh3_128_digest(distinct.tobytes()), "<i8").tolist()
-                own.append((*key, simhash.fingerprint_of(hashes), bands(distinct)))
-            columns = list(zip(*own)) if own else [()] * 4
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+                own.append((*key, simhash.fingerprint_of(hashes), len(distinct), bands(distinct)))
+            columns = list(zip(*own)) if own else [()] * 5
+            kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())]
             made = [pa.array(c, k) for c, k in zip(columns, kinds)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *made], names=["doc_id", "_mark", "k1", "k2", "fp", "bands"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *made], names=["doc_id", "_mark", "k1", "k2", "fp", "n", "bands"])
 
     rows = docs.select("doc_id", "_mark", F.col("text").cast("binary").alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
-    return rows.mapInArrow(run, f"doc_id {kind}, _mark bigint, k1 bigint, k2 bigint, fp bigint, bands array<bigint>")
+    return rows.mapInArrow(run, f"doc_id {kind}, _mark bigint, k1 bigint, k2 bigint, fp bigint, n bigint, bands array<bigint>")
 
 
 def _sets(rows: DataFrame) -> DataFrame:
@@ -91,42 +91,47 @@ def _sets(rows: DataFrame) -> DataFrame:
 
 
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (c, leader) whose sets are similar."""
+    """The pairs (u, v) whose sets are similar."""
     of = lambda key, name: sets.select(F.col("c").alias(key), F.col("shingles").alias(name))
-    both = pairs.join(of("leader", "a"), "leader").join(of("c", "b"), "c")
+    both = pairs.join(of("v", "a"), "v").join(of("u", "b"), "u")
     shared = F.size(F.array_intersect("a", "b"))
     union = F.size("a") + F.size("b") - shared
-    return both.where(SIMILAR[1] * shared >= SIMILAR[0] * union).select("c", "leader")
+    return both.where(SIMILAR[1] * shared >= SIMILAR[0] * union).select("u", "v")
 
 
 def links(sets: DataFrame, members: DataFrame) -> DataFrame | None:
-    """(u, v) links among similar classes; ``members`` are rows (band, value, c) of buckets of two or more.
+    """(u, v) links among similar classes; ``members`` are rows (band, value, c, n) of buckets of two or more.
 
-    None if there are none. A round compares one leader of each bucket, the first class that is not similar
-    to an earlier leader, with all classes of the bucket.
+    None if there are none. A round takes some leaders of each bucket, the first classes that are neither
+    leaders nor similar to one, and compares them with all classes of the bucket. The number of leaders grows by
+    rounds, so there are few rounds also where many texts of a bucket differ.
     """
-    found, checked, free = [], None, members
+    found: list[DataFrame] = []
+    checked: list[DataFrame] = []
+    free, most = members, 1
+    first = Window.partitionBy("band", "value").orderBy("c")
     while True:
         # stored, so that both sides of each join are plain exchanges that can be split at a hot bucket
-        leaders = common.stored(free.groupBy("band", "value").agg(F.min("c").alias("leader")), "leaders")
+        leaders = free.withColumn("k", F.row_number().over(first)).where(F.col("k") <= most)
+        leaders = common.stored(leaders.select("band", "value", F.col("c").alias("leader"), F.col("n").alias("m")), "leaders")
         if leaders.isEmpty():
             break
-        pairs = members.join(leaders, ["band", "value"]).where("c <> leader")
-        pairs = pairs.select(F.greatest("c", "leader").alias("c"), F.least("c", "leader").alias("leader")).distinct()
-        if checked is not None:
-            pairs = pairs.join(checked, ["c", "leader"], "left_anti")
-        pairs = common.stored(pairs, "pairs")
-        similar = common.stored(_similar(pairs, sets), "similar")
-        found.append(similar)
-        checked = pairs if checked is None else checked.unionByName(pairs)
-        linked = reduce(DataFrame.unionByName, found).select("c", "leader")
-        rest = free.join(leaders, ["band", "value"]).where("c <> leader")
-        free = common.stored(
-            rest.join(linked, ["c", "leader"], "left_anti").select("band", "value", "c"), "free"
+        # similar sets have similar sizes
+        sized = (SIMILAR[1] * F.least("n", "m") >= SIMILAR[0] * F.greatest("n", "m")) & (F.col("c") != F.col("leader"))
+        met = members.join(leaders, ["band", "value"]).where(sized).select(
+            "band", "value", "c", F.greatest("c", "leader").alias("u"), F.least("c", "leader").alias("v")
         )
-    if not found:
-        return None
-    return reduce(DataFrame.unionByName, found).select(F.col("c").alias("u"), F.col("leader").alias("v"))
+        met = common.stored(met, "met")
+        pairs = met.select("u", "v").distinct()
+        for c in checked:
+            pairs = pairs.join(c, ["u", "v"], "left_anti")
+        checked.append(common.stored(pairs, "pairs"))
+        found.append(common.stored(_similar(checked[-1], sets), "similar"))
+        attached = met.join(reduce(DataFrame.unionByName, found), ["u", "v"]).select("band", "value", "c").distinct()
+        gone = attached.unionByName(leaders.select("band", "value", F.col("leader").alias("c")))
+        free = common.stored(free.join(gone, ["band", "value", "c"], "left_anti"), "free")
+        most *= 4
+    return reduce(DataFrame.unionByName, found) if found else None
 
 
 def grouped(docs: DataFrame) -> DataFrame:
@@ -134,16 +139,16 @@ def grouped(docs: DataFrame) -> DataFrame:
     rows = common.stored(sketched(docs), "sketches")
     order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col("_mark").alias("m"))
     distinct = rows.groupBy("k1", "k2").agg(
-        F.min(order).alias("rep"), F.min("fp").alias("fp"), F.min("bands").alias("bands")
+        F.min(order).alias("rep"), F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("bands").alias("bands")
     )
     # numbered in the order of their first rows, so the smallest number of a group is its first row
     classes = common.stored(distinct.orderBy("rep").withColumn("c", F.monotonically_increasing_id()), "classes")
     components = simhash.components(classes.select("fp"))
-    by_band = classes.select(F.posexplode("bands").alias("band", "value"), "c")
-    by_print = classes.join(components, "fp").select(F.lit(-1).alias("band"), F.col("root").alias("value"), "c")
+    by_band = classes.select(F.posexplode("bands").alias("band", "value"), "c", "n")
+    by_print = classes.join(components, "fp").select(F.lit(-1).alias("band"), F.col("root").alias("value"), "c", "n")
     buckets = common.stored(by_band.unionByName(by_print), "buckets")
     shared = common.stored(
-        buckets.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "shared"
+        buckets.groupBy("band", "value").agg(F.count("*").alias("size")).where("size > 1").drop("size"), "shared"
     )
     members = common.stored(buckets.join(shared, ["band", "value"]), "members")
     involved = members.select("c").distinct()
