@@ -462,6 +462,13 @@ SELECTS = {
     "lang_fields": f"SELECT uuid, {', '.join(f'{by_lang(v)} AS {k}' for k, v in FAMILIES.items())} FROM final1",
     "spam_parse": "SELECT id, spam_rank FROM spam_rows",
     "page_rank_parse": f"SELECT id, {RANKED} FROM page_rank_rows",
+    "side_line_drops": """SELECT input, reason, count(*) AS n, min(left(value, 200)) AS first, max(left(value, 200)) AS last FROM (
+        SELECT 'spam' AS input, value, CASE WHEN TRY_CAST(split_part(value, ' ', 1) AS BIGINT) IS NULL THEN 'rank is no number' ELSE 'kept' END AS reason
+        FROM (SELECT value FROM spam_lines UNION ALL SELECT value FROM page_rank_lines)
+        UNION ALL SELECT 'page_ranks', value, CASE WHEN TRY_CAST(regexp_extract(value, ' +(.*)$', 1) AS FLOAT) IS NULL THEN 'rank is no number' ELSE 'kept' END
+        FROM (SELECT value FROM spam_lines UNION ALL SELECT value FROM page_rank_lines)
+        UNION ALL SELECT 'anchors', value, CASE WHEN regexp_matches(value, '^clueweb[0-9]{2}-[0-9A-Za-z_]{2}[0-9]{4}-[0-9]{2}-[0-9]{5}[ \\t]') THEN 'kept' ELSE 'no id and text' END
+        FROM anchor_lines) GROUP BY input, reason""",
     "anchor_parse": "SELECT id, anchor FROM anchors",
     "anchor_cut": "SELECT id, anchor FROM anchors_cut",
     "anchor_lang": "SELECT id, anchor, lang FROM anchor_langs",

@@ -124,6 +124,23 @@ def test_lines_read_plain_and_compressed(spark, tmp_path):
     assert read_lines(spark, None) is None
 
 
+def test_dropped_lines_are_counted_by_reason(spark):
+    spam = lines(spark, "5 a", "x a", "7", "", " 5 a", "5  ", "99999999999999999999 a", "x b")
+    got = {r["reason"]: (r["n"], r["first"], r["last"]) for r in ranks.line_counts(ranks.spam_outcomes(spam)).collect()}
+    # a line that begins with a blank has an empty rank
+    assert got == {
+        None: (1, "5 a", "5 a"),
+        ranks.NO_NUMBER: (3, "99999999999999999999 a", "x b"),
+        ranks.NO_ID: (3, "", "7"),
+        ranks.NO_RANK: (1, " 5 a", " 5 a"),
+    }
+    assert ranks.parse_spam(spam).count() == got[None][0]
+    rank = lines(spark, "a 0.5", "a", "a x", "a NaN", "")
+    assert ranks.page_rank_outcomes(rank).where("reason IS NULL").count() == ranks.parse_page_ranks(rank).count() == 2
+    anchors = lines(spark, f"{ID} text", f"{ID}", "other text", f"{ID} a\nb")
+    assert A.anchor_outcomes(anchors).where("reason IS NULL").count() == A.parse_anchors(anchors).count()
+
+
 def counting(spark):
     """A model that counts the texts it is given, and its accumulator."""
     seen = spark.sparkContext.accumulator(0)

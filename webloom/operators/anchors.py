@@ -10,6 +10,9 @@ from webloom.functions.language import LanguageModel
 # Fixed value: the id shape of anchor lines.
 ANCHOR_ID = r"clueweb\d{2}-\w{2}\d{4}-\d{2}-\d{5}"
 
+# Why a line is dropped.
+OTHER_LINE = "no id and text"
+
 # Largest amount of anchor text, in bytes, that may be nested into one document.
 NESTED_BYTES = 64 << 20
 
@@ -27,6 +30,13 @@ def parse_anchors(lines: DataFrame, id_pattern: str = ANCHOR_ID) -> DataFrame:
     return matched.select("id", F.ltrim(rest, F.lit(" \t\x0b\f\r\n")).alias("anchor"))
 
 
+def anchor_outcomes(lines: DataFrame, id_pattern: str = ANCHOR_ID) -> DataFrame:
+    """``value, reason`` of every line: NULL where ``parse_anchors`` keeps it."""
+    line = rf"\A(?:{id_pattern})[ \t\x0B\f\r\n]+.*\z"
+    kept = F.coalesce(F.col("value").rlike(line), F.lit(False))
+    return lines.select("value", F.when(~kept, F.lit(OTHER_LINE)).alias("reason"))
+
+
 def cut_anchors(anchors: DataFrame) -> DataFrame:
     """Hard cut of the anchor text, without regard to words."""
     return anchors.withColumn("anchor", F.substring("anchor", 1, S.ANCHOR_CHARS))

@@ -25,6 +25,43 @@ def _ranked(lines: DataFrame, id_at: int, rank_at: int, name: str, kind: str, mo
     return rows.where((F.col("id") != "") & F.col(name).isNotNull())
 
 
+# Why a line is dropped.
+NO_ID, NO_RANK, NO_NUMBER = "no id", "no rank", "rank is no number"
+SAMPLE_CHARS = 200
+
+
+def line_outcomes(lines: DataFrame, id_at: int, rank_at: int, kind: str) -> DataFrame:
+    """``value, reason`` of every line: why ``permissive`` drops it, NULL where it is kept."""
+    parts = lines.select("value", _fields().alias("parts"))
+    given = F.try_element_at("parts", F.lit(rank_at))
+    reason = (
+        F.when(F.coalesce(F.try_element_at("parts", F.lit(id_at)), F.lit("")) == "", NO_ID)
+        .when(F.coalesce(given, F.lit("")) == "", NO_RANK)
+        .when(given.try_cast(kind).isNull(), NO_NUMBER)
+    )
+    return parts.select("value", reason.alias("reason"))
+
+
+def spam_outcomes(lines: DataFrame) -> DataFrame:
+    return line_outcomes(lines, 2, 1, "bigint")
+
+
+def page_rank_outcomes(lines: DataFrame) -> DataFrame:
+    return line_outcomes(lines, 1, 2, "float")
+
+
+def line_counts(outcomes: DataFrame) -> DataFrame:
+    """``reason, n, first, last``: number of lines by reason, and two of them, cut, to look at.
+
+    One aggregation with a map-side part, so a task that is run again counts once, and a file that is all bad
+    costs as little as a good one.
+    """
+    cut = F.substring("value", 1, SAMPLE_CHARS)
+    return outcomes.groupBy("reason").agg(
+        F.count(F.lit(1)).alias("n"), F.min(cut).alias("first"), F.max(cut).alias("last")
+    )
+
+
 def parse_spam(lines: DataFrame, mode: str = "permissive") -> DataFrame:
     """``<rank> <id>`` lines. ``failfast`` raises on a bad line, ``permissive`` drops it."""
     return _ranked(lines, 2, 1, "spam_rank", "bigint", mode)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -355,6 +355,20 @@ def page_rank_parse(spark, sf_dir):
     return ranks.parse_page_ranks(demo.page_rank_lines(spark, sf_dir)).select("id", _rounded())
 
 
+@query
+def side_line_drops(spark, sf_dir):
+    """Lines kept and dropped, by reason, where either rank input holds the other's lines as well."""
+    spam_like, rank_like = demo.spam_lines(spark, sf_dir), demo.page_rank_lines(spark, sf_dir)
+    both = spam_like.unionByName(rank_like)
+    counted = {
+        "spam": ranks.spam_outcomes(both),
+        "page_ranks": ranks.page_rank_outcomes(both),
+        "anchors": A.anchor_outcomes(demo.anchor_lines(spark, sf_dir)),
+    }
+    named = [ranks.line_counts(o).withColumn("input", F.lit(i)) for i, o in counted.items()]
+    return reduce(DataFrame.unionByName, named).withColumn("reason", F.coalesce("reason", F.lit("kept")))
+
+
 @query
 def anchor_parse(spark, sf_dir):
     return parsed_anchors(spark, sf_dir)
