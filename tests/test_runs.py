@@ -13,7 +13,7 @@ from webloom.operators import anchors as A, live, merge
 from webloom.plans import batches as BT, catalog, index_build as B
 from webloom.session import Scratch
 from webloom.sinks import files, generations as G
-from webloom.sources import demo
+from webloom.sources import containers, demo
 from webloom.sources.containers import Batch
 
 
@@ -276,3 +276,27 @@ def test_only_anchors_of_documents_are_scored(spark, model, tmp_path):
     assert seen.value == 12  # distinct live (id, text) pairs, no false positives: the exact join comes first
     want = B.index_tables(more, model, "p")[0]
     assert rows(documents) == rows(want.select(documents.columns))
+
+
+# ---- damaged containers --------------------------------------------------------------------
+
+
+def test_a_cut_container_is_left_out_and_named(spark, tmp_path):
+    n = 50
+    rows = spark.sparkContext.parallelize([(f"k{i:05d}", "v" * 3000) for i in range(n * 20)], n)
+    rows.saveAsSequenceFile(f"{tmp_path}/parts")
+    for i in range(n):
+        (tmp_path / f"c/data-r-{i:05d}").mkdir(parents=True)
+        whole = (tmp_path / f"parts/part-{i:05d}").read_bytes()
+        (tmp_path / f"c/data-r-{i:05d}/data").write_bytes(whole[: len(whole) * 2 // 3] if i == 7 else whole)
+    damaged = containers.to_parquet_tolerant(spark, f"{tmp_path}/c", f"{tmp_path}/p")
+    assert [p.endswith("c/data-r-00007/data") for p in damaged] == [True] and all(damaged.values())
+    read = spark.read.parquet(f"{tmp_path}/p")
+    assert read.count() == 20 * (n - 1) and read.where("container = 7").count() == 0
+    some = containers.to_parquet_tolerant(spark, f"{tmp_path}/c", f"{tmp_path}/q", Batch(2, 5, n))
+    assert some == {} and spark.read.parquet(f"{tmp_path}/q").select("container").distinct().count() == 10
+    for i in (20, 30):
+        (tmp_path / f"c/data-r-{i:05d}/data").write_bytes(b"SEQ no more")
+    with pytest.raises(containers.DamagedContainers, match="3 of 50") as failed:
+        containers.to_parquet_tolerant(spark, f"{tmp_path}/c", f"{tmp_path}/r")
+    assert len(failed.value.damaged) == 3

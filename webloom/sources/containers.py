@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+import re
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from webloom.schema import RECORDS_DDL
+from webloom.sinks import files
 
 # Container naming and defaults.
 ALL_CONTAINERS = "data-r-*/data"
 CONTAINER = "data-r-{:05d}/data"
 DEFAULT_PARTITIONS = 100
+# Fixed value: the share of containers that may be unreadable.
+TOLERATED = 0.02
+# Containers that are converted at the same time where each is a job of its own.
+JOBS = 16
 TEXT_CLASS = "org.apache.hadoop.io.Text"
 
 
@@ -99,3 +108,39 @@ def to_parquet(spark: SparkSession, folder: str, target: str, batch: Batch = Bat
     number = F.regexp_extract(F.input_file_name(), r"data-r-(\d+)/data", 1).cast("int")
     frame = _pairs(spark, paths).select(number.alias("container"), "key", "value")
     frame.write.mode("overwrite").partitionBy("container").parquet(target)
+
+
+class DamagedContainers(Exception):
+    """More containers than tolerated could not be read; ``damaged`` says which and why."""
+
+    def __init__(self, damaged: dict[str, str], of: int):
+        names = ", ".join(sorted(damaged)[:10])
+        super().__init__(f"{len(damaged)} of {of} containers are damaged: {names}")
+        self.damaged = damaged
+
+
+def to_parquet_tolerant(
+    spark: SparkSession, folder: str, target: str, batch: Batch = Batch(), tolerated: float = TOLERATED
+) -> dict[str, str]:
+    """As ``to_parquet``, but a container that cannot be read to its end is left out whole and named.
+
+    Each container is a job of its own, so a damaged one takes no other with it and leaves no part of its
+    rows; Spark has tried its tasks as often as the cluster says. Containers are read once. Returns path and
+    reason of the damaged ones, and raises where they are more than the tolerated share.
+    """
+    found = [p for pattern in batch.paths(folder) for p, _ in files.matching(spark, pattern)]
+
+    def convert(path: str) -> str | None:
+        goal = f"{target.rstrip('/')}/container={int(re.search(r'data-r-([0-9]+)/data', path)[1])}"
+        try:
+            _pairs(spark, [path]).write.mode("overwrite").parquet(goal)
+        except (PySparkException, Py4JJavaError) as failed:
+            files.delete(spark, goal)
+            return str(failed).strip().split("\n")[0][:300]
+
+    with ThreadPoolExecutor(JOBS) as pool:
+        reasons = dict(zip(found, pool.map(convert, found)))
+    damaged = {p: r for p, r in reasons.items() if r is not None}
+    if len(damaged) > tolerated * len(found):
+        raise DamagedContainers(damaged, len(found))
+    return damaged
