@@ -257,6 +257,23 @@ def test_secret_models_count_every_document(docs_of):
     assert S.train(docs_of(list(enumerate(texts)))) == pytest.approx(S.ratios(counts))
 
 
+def test_many_secrets_in_one_text(llm_spark):
+    rng = random.Random(2)
+    parts = [rng.choice(["%032x" % rng.getrandbits(128), "AKIA" + "Q7" * 8, f"token={'ab1' * rng.randint(1, 9)}", "x" * 25, "und", "ü"]) for _ in range(3000)]
+    text = "".join(p + rng.choice(["", " ", "\n"]) for p in parts)
+    table = [0.1 * (i % 40) for i in range(S._SIDE * S._SIDE)]
+    docs = llm_spark.createDataFrame([(1, text), (2, text[:100])], "doc_id bigint, text string")
+    for r in S.scanned(docs, table).withColumn("clean", S.redacted(F.col("text"), F.col("spans"))).collect():
+        base = plain_base(r.text)
+        spans = sorted(base + plain_markov(r.text, base, table))
+        assert [(s.start, s.rank, s.end, s.kind) for s in r.spans] == spans
+        clean, at = "", 0
+        for start, _, end, _ in spans:
+            clean += (r.text[at:start] + "[secret]") if start >= at else ""
+            at = max(at, end)
+        assert r.clean == clean + r.text[at:]
+
+
 def test_secrets_of_odd_rows(edge_docs, no_docs):
     rows = S.scanned(edge_docs.drop("spans"), S.train(edge_docs)).collect()
     assert len(rows) == edge_docs.count() and not any(r.spans for r in rows)

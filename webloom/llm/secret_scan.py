@@ -49,6 +49,55 @@ ORDINARY, RANDOM = 0, 1
 SHAPES = {2: "camel case", 3: "path", 4: "time", 5: "uuid", 6: "dashed"}
 
 SPAN = "array<struct<start:bigint,rank:int,end:bigint,kind:string,value:string>>"
+_FAR = 2**62  # behind every text
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, not wherever ``use`` names it within a loop."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _blocks(items: Column, use) -> Column:
+    """``use`` of each block of about the square root of ``size(items)`` items, as an array."""
+    held = F.struct(items.alias("items"), F.ceil(F.sqrt(F.size(items))).cast("int").alias("b"))
+    return _let(
+        held,
+        lambda h: F.when(
+            F.size(h["items"]) > 0,
+            F.transform(
+                F.sequence(F.lit(1), F.size(h["items"]), F.greatest(h["b"], F.lit(1))),
+                lambda at: use(F.slice(h["items"], at, h["b"])),
+            ),
+        ),
+    )
+
+
+def _before(items: Column, first: int, join) -> Column:
+    """What ``join`` makes of all numbers before each of ``items``, null for no items.
+
+    An array cannot be appended to without a copy, so numbers are joined block by block: the work grows with
+    ``size * sqrt(size)`` at most.
+    """
+    numbers = "array<bigint>"
+    start = F.lit(first).cast("bigint")
+    none = F.array().cast(numbers)
+
+    def running(block: Column, head: Column) -> Column:
+        state = F.struct(head.alias("at"), none.alias("out"))
+        return F.aggregate(
+            block,
+            state,
+            lambda done, x: F.struct(
+                join(done["at"], x).cast("bigint").alias("at"), F.concat(done["out"], F.array(done["at"])).alias("out")
+            ),
+            lambda done: done["out"],
+        )
+
+    def flat(blocks: Column) -> Column:
+        sums = F.transform(blocks, lambda b: F.aggregate(b, start, lambda t, x: join(t, x).cast("bigint")))
+        return F.flatten(F.zip_with(blocks, running(sums, start), running))
+
+    return _let(_blocks(items.cast(numbers), lambda b: b), flat)
 
 
 def _found(text: Column, pattern: str, kind: str, rank: int, group: int = 0, least: int = 0) -> Column:
@@ -61,27 +110,26 @@ def _found(text: Column, pattern: str, kind: str, rank: int, group: int = 0, lea
     both = F.zip_with(
         matches, values, lambda m, v: F.struct(F.length(m).alias("size"), v.alias("value"))
     )
+    # the piece after the last match has no match, so its size is null
     steps = F.zip_with(
         gaps, both, lambda g, m: F.struct(F.length(g).alias("gap"), m["size"].alias("size"), m["value"].alias("value"))
     )
 
-    def add(done: Column, step: Column) -> Column:
-        start = done["at"] + step["gap"]
-        end = start + F.coalesce(step["size"], F.lit(0))
-        span = F.struct(
+    def span(step: Column, at: Column) -> Column:
+        start = at + step["gap"]
+        return F.struct(
             start.cast("bigint").alias("start"),
             F.lit(rank).alias("rank"),
-            end.cast("bigint").alias("end"),
+            (start + step["size"]).cast("bigint").alias("end"),
             F.lit(kind).alias("kind"),
             step["value"].alias("value"),
         )
-        kept = F.when(F.length(step["value"]) >= least, F.array(span)).otherwise(empty)
-        return F.struct(
-            end.cast("bigint").alias("at"), F.concat(done["spans"], kept).alias("spans")
-        )
 
-    first = F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("spans"))
-    spans = F.aggregate(steps, first, add, lambda done: done["spans"])
+    def placed(steps: Column) -> Column:
+        sizes = F.transform(steps, lambda s: s["gap"] + F.coalesce(s["size"], F.lit(0)))
+        return F.zip_with(steps, _before(sizes, 0, lambda a, b: a + b), span)
+
+    spans = F.filter(_let(steps, placed), lambda s: F.length(s["value"]) >= least)
     return F.when(text.rlike(pattern), spans).otherwise(empty)
 
 
@@ -196,12 +244,31 @@ def markov_spans(text: Column, base: Column, table: list[float]) -> Column:
     def ratio(run: Column) -> Column:
         return F.aggregate(_steps(run), F.lit(0.0), lambda total, s: total + F.element_at(model, s))
 
-    runs = _found(text, RUN, MARKOV, 3)
-    return F.filter(
-        runs,
-        lambda r: ~F.exists(base, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))
-        & (ratio(r["value"]) >= F.greatest(F.lit(LEAST_RATIO), F.length(r["value"]) * LEAST_PER_CHARACTER)),
-    )
+    def likely(r: Column) -> Column:
+        return ratio(r["value"]) >= F.greatest(F.lit(LEAST_RATIO), F.length(r["value"]) * LEAST_PER_CHARACTER)
+
+    runs = F.filter(_found(text, RUN, MARKOV, 3), likely)
+    return F.when(F.size(base) > 0, _free(runs, base)).otherwise(runs)
+
+
+def _free(runs: Column, base: Column) -> Column:
+    """The ``runs`` that overlap no span of ``base``; in order of their starts they meet the spans before and after."""
+
+    def clear(spans: Column) -> Column:
+        is_base = lambda s: s["kind"] != MARKOV
+        ends = F.transform(spans, lambda s: F.when(is_base(s), s["end"]).otherwise(F.lit(0)))
+        starts = F.transform(F.reverse(spans), lambda s: F.when(is_base(s), s["start"]).otherwise(F.lit(_FAR)))
+        last_end = _before(ends, 0, F.greatest)
+        next_start = F.reverse(_before(starts, _FAR, F.least))
+        around = F.arrays_zip(spans.alias("span"), last_end.alias("last"), next_start.alias("next"))
+        kept = F.filter(
+            around,
+            lambda x: ~is_base(x["span"]) & (x["last"] <= x["span"]["start"]) & (x["next"] >= x["span"]["end"]),
+        )
+        return F.transform(kept, lambda x: x["span"])
+
+    # of spans that start together, those of the base come first: their rank is lower
+    return _let(F.array_sort(F.concat(base, runs)), clear)
 
 
 def scanned(docs: DataFrame, table: list[float]) -> DataFrame:
@@ -222,22 +289,32 @@ def joined(spans: str) -> Column:
 
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
     """The text with every span, or run of overlapping spans, replaced by ``mark``."""
-    first = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
 
-    def add(done: Column, s: Column) -> Column:
-        gap = F.substring(text, (done["at"] + 1).cast("int"), (s["start"] - done["at"]).cast("int"))
-        out = F.when(s["start"] >= done["at"], F.concat(done["out"], gap, F.lit(mark)))
-        return F.struct(
-            F.greatest(done["at"], s["end"]).alias("at"), out.otherwise(done["out"]).alias("out")
+    def cut(spans: Column) -> Column:
+        """The pieces that stay: (at, end), each up to a span that starts behind all spans before it."""
+        ends = F.transform(spans, lambda s: s["end"])
+        pieces = F.zip_with(
+            spans, _before(ends, 0, F.greatest), lambda s, at: F.struct(at.alias("at"), s["start"].alias("end"))
+        )
+        rest = F.struct(F.array_max(ends).alias("at"), F.length(text).cast("bigint").alias("end"))
+        return F.concat(F.filter(pieces, lambda p: p["at"] <= p["end"]), F.array(rest))
+
+    def joined_block(pieces: Column) -> Column:
+        # places are counted from the start of a text, so a block's own text is taken out first
+        head = pieces[0]["at"]
+        whole = F.substr(text, (head + 1).cast("int"), (F.element_at(pieces, -1)["end"] - head).cast("int"))
+        return _let(
+            F.struct(whole.alias("text"), head.alias("head")),
+            lambda b: F.array_join(
+                F.transform(
+                    pieces,
+                    lambda p: F.substr(b["text"], (p["at"] - b["head"] + 1).cast("int"), (p["end"] - p["at"]).cast("int")),
+                ),
+                mark,
+            ),
         )
 
-    whole = F.length(text)
-    changed = F.aggregate(
-        spans,
-        first,
-        add,
-        lambda done: F.concat(done["out"], F.substring(text, (done["at"] + 1).cast("int"), whole)),
-    )
+    changed = F.array_join(_blocks(_let(spans, cut), joined_block), mark)
     return F.when(F.size(spans) > 0, changed).otherwise(text)
 
 
