@@ -81,6 +81,29 @@ def test_grammar_makes_repeats_small():
         grammar.Shard.read(b"other")
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 3), max_size=60), max_size=6), st.sampled_from([1, 4, 64]))
+def test_no_frequent_pair_is_left(docs, share):
+    flat = np.array([i for d in docs for i in d], np.uint32)
+    shard = grammar.Shard.read(grammar.compress(flat, np.array([len(d) for d in docs], np.int64), 4, 3, share))
+    assert [shard.document(i).tolist() for i in range(len(docs))] == docs
+    pairs = defaultdict(int)
+    for i in range(len(docs)):
+        own = shard.symbols[shard.symbol_start[i] : shard.symbol_start[i + 1]].tolist()
+        for pair in zip(own, own[1:]):
+            pairs[pair] += 1
+    assert max(pairs.values(), default=0) < 3
+
+
+def test_equal_rows_are_dealt_to_all_tasks(docs_of):
+    rows = [(i, f"text {i}") for i in range(2000)] + [(700, "the same row again")] * 1000
+    made = O.blocks(docs_of(rows), common.tokenizer_path("word_bpe_49k.json"), False).cache()
+    parts = [r.n for r in made.selectExpr("size(doc_id) AS n").collect()]  # each part is one block here
+    assert sum(parts) == 3000 and len(parts) > 1 and max(parts) <= 2 * sorted(parts)[len(parts) // 2]
+    starts = sorted((r.start, r.n_tokens) for r in O.placed(made).collect())
+    assert starts[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:]))
+
+
 def test_shards_hold_documents_in_id_order(llm_spark, monkeypatch):
     monkeypatch.setattr(O, "IDS_PER_BLOCK", 3000)
     docs = common.table(llm_spark, SMALL, "documents")

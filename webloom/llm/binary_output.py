@@ -5,8 +5,8 @@ each a grammar shard of its own (``grammar.py``). A block is one row of a Parque
 store that Spark reaches can hold it and a lost executor only repeats its own blocks.
 
 Defined cases: a null text is an empty one and still gets the end id; rows of one id, and rows
-without an id (first), are documents of their own, ordered by a hash of the text; an empty table
-gives no block; extra columns are ignored.
+without an id (first), are documents of their own, ordered by a hash of the text, and equal rows are dealt
+to tasks by row number; an empty table gives no block; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -74,11 +74,15 @@ def blocks(docs: DataFrame, tokenizer: str, spaced: bool, end_id: int = END_ID)
         if ids:
             yield block()
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    by_text = F.xxhash64("text")
+    rows = docs.select(
+        F.col("doc_id").cast("long"), F.col("text").cast("string"), F.monotonically_increasing_id().alias("_row")
+    )
+    # the order of equal rows changes nothing, so the row number only parts them
+    order = ["doc_id", F.xxhash64("text"), "_row"]
     return (
-        rows.repartitionByRange("doc_id", by_text)
-        .sortWithinPartitions("doc_id", by_text)
+        rows.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .drop("_row")
         .mapInArrow(encode, BLOCK_DDL)
     )
 
@@ -126,10 +130,18 @@ _DECODED = ["part", "block", "place", "doc_id", "inner", "n_tokens", "ids"]
 
 
 def placed(shards: DataFrame, digest: bool = False) -> DataFrame:
-    """``decoded`` with ``start``: the ids of all documents before. Sums one slim row per block."""
-    earlier = Window.orderBy("part", "block").rowsBetween(Window.unboundedPreceding, -1)
-    before = shards.select(
-        "part", "block", F.coalesce(F.sum("n_tokens").over(earlier), F.lit(0)).alias("before")
+    """``decoded`` with ``start``: the ids of all documents before.
+
+    Sums run over the blocks of each part, and over one number per part.
+    """
+    earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    parts = shards.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    parts = parts.select("part", F.sum("n").over(earlier(Window.orderBy("part"))).alias("parts_before"))
+    inner = F.sum("n_tokens").over(earlier(Window.partitionBy("part").orderBy("block")))
+    before = (
+        shards.select("part", "block", inner.alias("blocks_before"))
+        .join(parts, "part")
+        .select("part", "block", (F.coalesce("parts_before", F.lit(0)) + F.coalesce("blocks_before", F.lit(0))).alias("before"))
     )
     return decoded(shards, digest).join(before, ["part", "block"]).withColumn(
         "start", F.col("before") + F.col("inner")

@@ -1,10 +1,10 @@
 """Re-Pair grammar compression of token ids, and the shard format that holds it.
 
 A shard keeps its ids as symbols of a grammar: symbols below the vocabulary size are ids, the
-others are rules of two symbols each. Every round counts the adjacent pairs of the whole shard,
-turns the most frequent ones into rules and replaces them, left to right without overlap, until
-no pair is frequent enough. No pair spans two documents, so a document is a slice of the symbols
-and any of its ids can be reached through the expansion lengths of the rules.
+others are rules of two symbols each. Every round counts all adjacent pairs of the shard, turns the
+most frequent one, and those at most ``SHARE`` times rarer, into rules and replaces them, left to right
+without overlap, until no pair occurs ``LEAST_COUNT`` times. No pair spans two documents, so a document
+is a slice of the symbols and any of its ids can be reached through the expansion lengths of the rules.
 
 Layout, little-endian: MAGIC, six uint32 (version, vocabulary, documents, rules, symbols, symbol
 width in bytes), rules (left, right) uint32, expansion lengths uint32, per document: ids uint64
@@ -19,35 +19,38 @@ from dataclasses import dataclass
 import numpy as np
 
 MAGIC = b"RPG1"
-ROUNDS = 5
-RULES_PER_ROUND = 2048
 LEAST_COUNT = 8
+SHARE = 64
 _BUCKETS = 18
 
 
-def _frequent(key: np.ndarray, most: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _bucket(key: np.ndarray) -> np.ndarray:
+    return ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BUCKETS)).astype(np.int32)
+
+
+def _frequent(key: np.ndarray, least: int, share: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The most frequent keys in ascending order, with the positions that hold one and its index.
 
-    Keys are first counted by a hash of 18 bits: a key is at most as frequent as its bucket, so
-    only buckets that reach the count of the ``most``-th one are counted key by key.
+    Those are the keys that occur ``least`` times and at least ``1 / share`` as often as the most frequent.
     """
-    bucket = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BUCKETS)).astype(np.int32)
-    size = np.bincount(bucket, minlength=1 << _BUCKETS)
-    nth = np.partition(size, len(size) - most)[len(size) - most] if most < len(size) else 0
-    at = np.flatnonzero((size >= max(least, nth))[bucket])
-    keys, inverse, counts = np.unique(key[at], return_inverse=True, return_counts=True)
-    order = np.lexsort((keys, -counts))[:most]
-    chosen = np.sort(order[counts[order] >= least])
-    place = np.full(len(keys), -1, np.int64)
-    place[chosen] = np.arange(len(chosen))
-    rule = place[inverse]
-    return keys[chosen], at[rule >= 0], rule[rule >= 0]
+    # a sort alone is far cheaper than one that keeps the positions
+    ordered = np.sort(key)
+    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+    counts = np.diff(first, append=len(ordered))
+    chosen = ordered[first[counts >= max(least, counts.max() / share)]]
+    if not len(chosen):
+        return chosen, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    held = np.zeros(1 << _BUCKETS, dtype=bool)
+    held[_bucket(chosen)] = True
+    at = np.flatnonzero(held[_bucket(key)])
+    rule = np.minimum(np.searchsorted(chosen, key[at]), len(chosen) - 1)
+    right = chosen[rule] == key[at]
+    return chosen, at[right], rule[right]
 
 
 def compress(
-    ids: np.ndarray, doc_ids: np.ndarray, vocabulary: int, rounds: int = ROUNDS,
-    per_round: int = RULES_PER_ROUND, least: int = LEAST_COUNT,
-) -> bytes:
+    ids: np.ndarray, doc_ids: np.ndarray, vocabulary: int, least: int = LEAST_COUNT, share: int = SHARE
+) -> bytes:
     """The shard of the concatenated ``ids`` of documents with ``doc_ids[i]`` ids each."""
     symbols = np.array(ids, dtype=np.uint32)
     last = np.zeros(len(symbols), dtype=bool)
@@ -55,12 +58,12 @@ def compress(
     last[ends[doc_ids > 0] - 1] = True
     rules, lengths = [np.zeros((0, 2), np.uint32)], [np.ones(vocabulary, np.int64)]
     known = vocabulary
-    for _ in range(rounds):
+    while True:
         inner = np.flatnonzero(~last[:-1]) if len(symbols) else np.zeros(0, np.int64)
         if not len(inner):
             break
         key = symbols[inner].astype(np.uint64) << np.uint64(32) | symbols[inner + 1]
-        pairs, at, rule = _frequent(key, per_round, least)
+        pairs, at, rule = _frequent(key, least, share)
         if not len(pairs):
             break
         # of overlapping hits every second one counts, from the left
