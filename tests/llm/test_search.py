@@ -139,10 +139,11 @@ def plain_top_k(rows, k=5):
     return out
 
 
-@pytest.mark.parametrize("shard_rows, query_rows", [(16_384, 4096), (60, 3)])
-def test_top_k_equals_all_products(llm_spark, monkeypatch, shard_rows, query_rows):
+@pytest.mark.parametrize("shard_rows, query_bytes, leaf", [(16_384, 32 << 20, 256), (60, 3 * 600, 7)])
+def test_top_k_equals_all_products(llm_spark, monkeypatch, shard_rows, query_bytes, leaf):
     monkeypatch.setattr(topk, "SHARD_ROWS", shard_rows)
-    monkeypatch.setattr(topk, "QUERY_ROWS", query_rows)
+    monkeypatch.setattr(topk, "QUERY_BYTES", query_bytes)
+    monkeypatch.setattr(topk, "LEAF", leaf)
     rows = common.table(llm_spark, SMALL, "embeddings").collect()
     got = QUERIES["op9_kd_topk"](llm_spark, SMALL).collect()
     want = plain_top_k([(r.vec_id, r.embedding) for r in rows])
@@ -168,23 +169,34 @@ def test_top_k_of_odd_rows(llm_spark, monkeypatch):
     assert sorted((r["rank"], r.vec_id, r.score) for r in twice) == [(1, 1, 32768), (2, 1, 32768), (3, 2, 16384)]
 
 
+def test_trees_open_few_leaves_where_boxes_tell_vectors_apart():
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(64, 8)) * 4000
+    vectors = np.floor(np.repeat(centres, 200, 0) + rng.normal(size=(12_800, 8)) * 50)
+    ids = rng.permutation(len(vectors))
+    tree, opened = topk.KdTree(vectors, ids), 0
+    assert sorted(tree.ids) == list(range(len(ids))) and max(np.subtract(tree.end, tree.begin)[np.array(tree.child) == 0]) <= topk.LEAF
+    for q in range(0, len(vectors), 400):
+        best = topk.Best(5, -np.inf)
+        opened += tree.search(vectors[q], ids[q], best)
+        scores = vectors @ vectors[q]
+        want = sorted(((int(s), -int(i)) for s, i in zip(scores, ids) if i != ids[q]), reverse=True)[:5]
+        assert sorted(best.heap, reverse=True) == want
+    assert opened < 0.2 * tree.leaves * 32
+
+
 def test_a_hot_id_spreads_over_shards(llm_spark, monkeypatch):
     monkeypatch.setattr(topk, "SHARD_ROWS", 100)
     rng = np.random.default_rng(3)
     rows = [(7 if i % 3 == 0 else i, rng.normal(size=4).tolist()) for i in range(1, 1800)]
-    search = topk._search
-
-    def watched(k):
-        run = search(k)
-
-        def limited(queries, vectors):
-            if len(vectors) > 200:
-                raise ValueError(f"{len(vectors)} rows in a shard of 100")
-            return run(queries, vectors)
+    tree = topk.KdTree
 
-        return limited
+    def watched(vectors, ids, leaf):
+        if len(vectors) > 100:
+            raise ValueError(f"{len(vectors)} rows in a shard of 100")
+        return tree(vectors, ids, leaf)
 
-    monkeypatch.setattr(topk, "_search", watched)
+    monkeypatch.setattr(topk, "KdTree", watched)
     df = llm_spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
     found = topk.top_k(topk.whole_numbers(df, "vec_id", "embedding"), F.col("id") % 50 == 0).collect()
     assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in found} == plain_top_k(rows)
