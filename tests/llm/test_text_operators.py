@@ -316,6 +316,54 @@ def test_licences_and_inheritance(llm_spark):
     assert licences.inventory(files, "path").count() == len(rows)
 
 
+def plain_licence(text, all_sentences):
+    """TF-IDF cosine of each sentence to each template in plain Python."""
+    seen, n = Counter(t for s in all_sentences for t in set(licences.tokens(s))), len(all_sentences)
+    idf = lambda t, known: np.log((1 + n) / (1 + (seen[t] if known else 0))) + 1
+    known = {t for _, x in licences.TEMPLATES for t in licences.tokens(x)}.union(*licences.MARKS.values())
+    vector = lambda x: {t: (1 + np.log(f)) * idf(t, t in known) for t, f in Counter(licences.tokens(x)).items()}
+    cosine = lambda a, b: sum(w * b.get(t, 0) for t, w in a.items()) / np.sqrt(sum(w * w for w in a.values()) * sum(w * w for w in b.values()))
+    best = []
+    for s in re.split(licences.SENTENCE, text):
+        own = set(licences.tokens(s))
+        if not re.search(licences.CUE, s) or not own:
+            continue
+        scores = {}
+        for k, x in licences.TEMPLATES:
+            if own >= set(licences.decisive(x)) and licences.marks(own) == licences.marks(set(licences.tokens(x))):
+                scores[k] = max(scores.get(k, 0), round(float(cosine(vector(s), vector(x))), 9))
+        top = sorted(((-v, k) for k, v in scores.items()))[:2]
+        if top and -top[0][0] >= licences.LEAST and (len(top) < 2 or top[1][0] - top[0][0] >= licences.MARGIN):
+            best.append((top[0][1] == licences.PROPRIETARY, *top[0]))
+    return min(best)[2] if best else None
+
+
+NOTICES = {
+    "SPDX-License-Identifier: GPL-2.0-only": "GPL-2.0", "licensed under the GNU General Public License, version 2": "GPL-2.0",
+    "SPDX-License-Identifier: AGPL-3.0-only": "AGPL-3.0", "Licensed under the BSD 2-Clause License.": "BSD-2-Clause",
+    "Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0", "Licensed under CC BY-NC-ND 4.0": "CC-BY-NC-ND-4.0",
+    "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "CC-BY-SA-4.0",
+    "Licensed under the ISC License": "ISC", "This work is in the public domain.": "public-domain",
+    "licensed under the GNU Lesser General Public License, version 2.1": "LGPL-2.1",
+    "The Apache Software License, Version 1.1": "Apache-1.1", "Licensed under the Apache License, Version 2.0": "Apache-2.0",
+    "SPDX-License-Identifier: LGPL-3.0-or-later": "LGPL-3.0", "Licensed under CC BY 3.0": None,
+    "Redistribution and use in source and binary forms, with or without modification, are permitted": None,
+    "Licensed under the Foo License": None, "Copyright 2020 Foo. All rights reserved.": "proprietary",
+    "Copyright 2020 Foo. All rights reserved.\nReleased under the MIT License.": "MIT",
+    "you can redistribute it under the terms of the GNU General Public License": None,
+}
+
+
+def test_versions_and_variants_of_licences(llm_spark):
+    rows = [(f"{i}/x.py", text, "kept", i) for i, text in enumerate(NOTICES)]
+    files = llm_spark.createDataFrame(rows, "path string, text string, score string, n int")
+    got = licences.inventory(files, "n", "score").collect()
+    every = [s for t in NOTICES for s in re.split(licences.SENTENCE, t) if re.search(licences.CUE, s)]
+    assert {r.n: r.licence for r in got} == {i: plain_licence(t, every) for i, t in enumerate(NOTICES)}
+    assert {list(NOTICES)[r.n]: r.licence for r in got} == NOTICES
+    assert {r.given_score for r in got} == {"kept"}
+
+
 def test_licence_query(llm_spark, no_docs, edge_docs):
     query = QUERIES["op5_tfidf_licences"](llm_spark, MEDIUM)
     texts = {r.doc_id: r.text for r in common.table(llm_spark, MEDIUM, "documents").collect()}
