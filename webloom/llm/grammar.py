@@ -132,20 +132,16 @@ class Shard:
         return cls(vocabulary, table, lengths, doc_ids, start, take(f"<u{width}", symbols))
 
     def __post_init__(self) -> None:
-        """Expansions of all rules, flat: a rule only names ids and earlier rules."""
+        """Expansions of all rules, flat: a rule only names ids and earlier rules, so many are expanded at once."""
         self.offset = np.concatenate([[0], np.cumsum(self.lengths)])
         self.flat = np.zeros(self.offset[-1], np.uint32)
-        for k, (left, right) in enumerate(self.rules):
-            at = self.offset[k]
-            for symbol in (left, right):
-                if symbol < self.vocabulary:
-                    self.flat[at] = symbol
-                    at += 1
-                else:
-                    r = symbol - self.vocabulary
-                    n = self.lengths[r]
-                    self.flat[at : at + n] = self.flat[self.offset[r] : self.offset[r] + n]
-                    at += n
+        latest = self.rules.max(1, initial=0) - self.vocabulary
+        first = 0
+        while first < len(self.rules):
+            waiting = np.flatnonzero(latest[first:] >= first)
+            end = first + int(waiting[0]) if len(waiting) else len(self.rules)
+            self.flat[self.offset[first] : self.offset[end]] = self.expand(self.rules[first:end].reshape(-1))
+            first = end
 
     def sizes(self, symbols: np.ndarray) -> np.ndarray:
         out = np.ones(len(symbols), np.int64)
