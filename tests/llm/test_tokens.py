@@ -1,7 +1,7 @@
 """Token ids, the grammar shards and the packing."""
 
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from functools import cache
 
 import numpy as np
@@ -73,6 +73,48 @@ def test_grammar_round_trip(docs):
                     assert shard.part(k, a, b).tolist() == d[a:b]
 
 
+def recounted(docs, known, least, share):
+    """Rules and symbols of the documents with all pairs counted anew in every round."""
+    docs, rules = [list(d) for d in docs], []
+    while True:
+        counts = Counter(p for d in docs for p in zip(d, d[1:]))
+        most = max(counts.values(), default=0)
+        chosen = sorted(p for p, n in counts.items() if n >= max(least, most / share))
+        if not chosen:
+            return rules, docs
+        names = {p: known + len(rules) + k for k, p in enumerate(chosen)}
+        rules += chosen
+        for d in docs:
+            k = 0
+            while k < len(d) - 1:
+                if (d[k], d[k + 1]) in names:
+                    d[k : k + 2] = [names[d[k], d[k + 1]]]
+                k += 1
+
+
+@settings(max_examples=200, deadline=None)
+@given(
+    st.lists(st.lists(st.integers(0, 3), max_size=80), max_size=6), st.integers(2, 4), st.sampled_from([1, 2, 64])
+)
+def test_grammar_is_that_of_a_full_recount(docs, least, share):
+    flat = np.array([i for d in docs for i in d], np.uint32)
+    made = grammar.Shard.read(grammar.compress(flat, np.array([len(d) for d in docs], np.int64), 4, least, share))
+    rules, left = recounted(docs, 4, least, share)
+    assert [tuple(r) for r in made.rules.tolist()] == rules
+    assert made.symbols.tolist() == [i for d in left for i in d]
+
+
+@pytest.mark.parametrize("bits", [1, 3])
+def test_keys_that_share_a_bucket(monkeypatch, bits):
+    monkeypatch.setattr(grammar, "_BUCKETS", bits)
+    docs = [[int(i) for i in np.random.default_rng(n).integers(0, 6, 300)] for n in range(5)]
+    flat, sizes = np.array(sum(docs, []), np.uint32), np.full(5, 300, np.int64)
+    made = grammar.Shard.read(grammar.compress(flat, sizes, 6, 3))
+    rules, left = recounted(docs, 6, 3, grammar.SHARE)
+    assert [tuple(r) for r in made.rules.tolist()] == rules
+    assert made.symbols.tolist() == sum(left, [])
+
+
 def test_grammar_makes_repeats_small():
     flat = np.tile(np.arange(16, dtype=np.uint32), 1000)
     shard = grammar.Shard.read(grammar.compress(flat, np.array([len(flat)]), 50_000))

@@ -25,27 +25,45 @@ _BUCKETS = 18
 
 
 def _bucket(key: np.ndarray) -> np.ndarray:
-    return ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BUCKETS)).astype(np.int32)
+    mixed = key * np.uint64(0x9E3779B97F4A7C15)
+    mixed >>= np.uint64(64 - _BUCKETS)
+    return mixed.view(np.int64)
 
 
-def _frequent(key: np.ndarray, least: int, share: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The most frequent keys in ascending order, with the positions that hold one and its index.
+def _frequent(
+    key: np.ndarray, least: int, share: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The most frequent keys in ascending order, the places that hold one with its index, and the places
+    of all keys that may occur ``least`` times.
 
-    Those are the keys that occur ``least`` times and at least ``1 / share`` as often as the most frequent.
+    The most frequent keys occur ``least`` times and at least ``1 / share`` as often as the first of them.
     """
     # a sort alone is far cheaper than one that keeps the positions
     ordered = np.sort(key)
-    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-    counts = np.diff(first, append=len(ordered))
-    chosen = ordered[first[counts >= max(least, counts.max() / share)]]
-    if not len(chosen):
-        return chosen, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    ends = np.append(np.flatnonzero(ordered[1:] != ordered[:-1]), len(ordered) - 1)
+    counts = np.diff(ends, prepend=-1)
+    enough = counts >= least
+    keys, counts = ordered[ends[enough]], counts[enough]
+    if not len(keys):
+        return keys, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     held = np.zeros(1 << _BUCKETS, dtype=bool)
-    held[_bucket(chosen)] = True
-    at = np.flatnonzero(held[_bucket(key)])
-    rule = np.minimum(np.searchsorted(chosen, key[at]), len(chosen) - 1)
-    right = chosen[rule] == key[at]
-    return chosen, at[right], rule[right]
+    held[_bucket(keys)] = True
+    kept = np.flatnonzero(held[_bucket(key)])
+    chosen = keys[counts >= counts.max() / share]
+    # nearly all places of a bucket with one chosen key hold that key; the others are looked up
+    own, mine = key[kept], _bucket(chosen)
+    index = np.full(1 << _BUCKETS, -1, np.int32)
+    index[mine] = np.arange(len(chosen), dtype=np.int32)
+    rule = index[_bucket(own)]
+    at = np.flatnonzero(rule >= 0)
+    rule, own = rule[at], own[at]
+    hit = chosen[rule] == own
+    if np.count_nonzero(index >= 0) < len(mine):
+        missed = np.flatnonzero(~hit)
+        again = np.minimum(np.searchsorted(chosen, own[missed]), len(chosen) - 1)
+        found = chosen[again] == own[missed]
+        rule[missed[found]], hit[missed[found]] = again[found], True
+    return chosen, kept[at[hit]], rule[hit], kept
 
 
 def compress(
@@ -58,16 +76,18 @@ def compress(
     last[ends[doc_ids > 0] - 1] = True
     rules, lengths = [np.zeros((0, 2), np.uint32)], [np.ones(vocabulary, np.int64)]
     known = vocabulary
-    while True:
-        inner = np.flatnonzero(~last[:-1]) if len(symbols) else np.zeros(0, np.int64)
-        if not len(inner):
-            break
-        key = symbols[inner].astype(np.uint64) << np.uint64(32) | symbols[inner + 1]
-        pairs, at, rule = _frequent(key, least, share)
+    # Occurrences of a pair all arise in the round that makes its newer symbol and only get fewer, so a pair
+    # that is rare once stays so: only places that may still belong to a frequent one are looked at.
+    open_places = np.flatnonzero(~last[:-1]) if len(symbols) else np.zeros(0, np.int64)
+    while len(open_places):
+        key = symbols[open_places].astype(np.uint64)
+        key <<= np.uint64(32)
+        key |= symbols[open_places + 1]
+        pairs, hit, rule, kept = _frequent(key, least, share)
         if not len(pairs):
             break
         # of overlapping hits every second one counts, from the left
-        hit = inner[at]
+        hit, open_places = open_places[hit], open_places[kept]
         new_run = np.diff(hit, prepend=-2) > 1
         start = np.maximum.accumulate(np.where(new_run, hit, 0))
         taken = (hit - start) % 2 == 0
@@ -76,7 +96,12 @@ def compress(
         last[hit] = last[hit + 1]
         keep = np.ones(len(symbols), dtype=bool)
         keep[hit + 1] = False
-        symbols, last = symbols[keep], last[keep]
+        again = np.zeros(len(symbols), dtype=bool)
+        again[open_places] = again[hit] = True
+        again[hit[hit > 0] - 1] = True
+        again &= ~last
+        symbols, last, again = symbols[keep], last[keep], again[keep]
+        open_places = np.flatnonzero(again)
         pair = np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
         so_far = np.concatenate(lengths)
         lengths.append(so_far[pair[:, 0]] + so_far[pair[:, 1]])
