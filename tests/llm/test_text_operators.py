@@ -1,10 +1,12 @@
 """Decontamination, toxicity, secrets, licences and languages against plain versions."""
 
 import hashlib
+import pickle
 import random
 import re
 import string
 from collections import Counter
+from types import SimpleNamespace
 import zlib
 
 import numpy as np
@@ -85,6 +87,33 @@ def test_many_index_shards_give_the_same(llm_spark, monkeypatch):
     assert one == many and one
 
 
+@pytest.mark.parametrize("words_of_a_shard", [D.INDEX_WORDS, 400])
+def test_repeated_items_and_clashing_names(llm_spark, monkeypatch, words_of_a_shard):
+    monkeypatch.setattr(D, "INDEX_WORDS", words_of_a_shard)
+    names = ["key", "leaks", "kept", "shard", "a: b"]
+    docs = common.table(llm_spark, SMALL, "documents").withColumns({c: F.col("doc_id") for c in names})
+    bench = common.table(llm_spark, SMALL, "benchmark")
+    keep = ["doc_id", "key", "kept", "shard", "a: b"]
+    once = D.with_leaks(docs, bench, *keep).collect()
+    assert len(once) == docs.count() and all(r.doc_id == r.key == r.kept == r.shard for r in once)
+    thrice = D.with_leaks(docs, bench.union(bench).union(bench), *keep).collect()
+    items = lambda rows, n: {r.doc_id: sorted(n * [x.item_id for x in r.leaks]) for r in rows}
+    assert items(thrice, 1) == items(once, 3) and any(r.leaks for r in once)
+
+
+def test_no_task_holds_two_shards(llm_spark, monkeypatch):
+    monkeypatch.setattr(D, "INDEX_WORDS", 400)
+    bench = common.table(llm_spark, SMALL, "benchmark")
+    shards, n = D.index_shards(bench)
+    sizes = [sum(len(x[4]) for x in pickle.loads(r["index"]).items) for r in shards.collect()]
+    assert n > 3 and max(sizes) < 3 * 400
+    D._OPEN.clear()
+    for r in shards.collect():
+        D.opened(str(r["shard"]), SimpleNamespace(value=bytes(r["index"])))
+        assert list(D._OPEN) == [str(r["shard"])]
+    D._OPEN.clear()
+
+
 def test_decontamination_of_odd_rows(llm_spark, edge_docs, no_docs):
     ddl = "item_id bigint, text string"
     bench = llm_spark.createDataFrame(

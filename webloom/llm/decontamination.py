@@ -15,27 +15,33 @@ there without comparing every passage with every item:
    that cannot reach 1 are skipped, for all passages of a text at once. Within the other blocks
    WAND goes from pivot to pivot over the postings and skips items that cannot reach 1.
 
-An index shard holds at most about INDEX_WORDS words of items and is broadcast; a larger benchmark
-has more shards, which are asked one after the other. Defined cases: null texts are empty ones;
-items with fewer than five words have no shingle and match nothing; repeated items and documents
-each count; a null item id is kept; an empty table on either side gives no leak; columns of the
-documents are kept.
+An index shard holds about INDEX_WORDS words of distinct items. Tasks build the shards and write them to
+the shared folder; one shard at a time is broadcast, asked by all documents and given up again, and
+only its leaks are kept, so memory does not grow with the benchmark. Defined cases: null texts are
+empty ones; items with fewer than five words have no shingle and match nothing; repeated items are
+indexed once, but each of them and of the documents counts; a null item id is kept; an empty table on
+either side gives no leak; columns of the documents are kept, whatever they are called.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby, repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from webloom.llm import common
+from webloom.session import checkpoint_dir
 
 SHINGLE = 5
 OVERLAP = 0.8
@@ -71,17 +77,19 @@ def shingles(ids: list) -> set[tuple]:
 
 
 class Index:
-    """The items of one shard."""
+    """The items of one shard; ``copies`` tells how often each stands in the benchmark."""
 
-    def __init__(self, items: list[tuple[int | None, str | None]]):
-        parts = [(i, *question_and_answer(t or "")) for i, t in items]
-        parts = [(i, q, a) for i, q, a in parts if len(q) + len(a) >= SHINGLE]
+    def __init__(self, items: list[tuple[int | None, str | None]], copies: list[int] | None = None):
+        parts = [
+            (i, *question_and_answer(t or ""), n) for (i, t), n in zip(items, copies or repeat(1))
+        ]
+        parts = [x for x in parts if len(x[1]) + len(x[2]) >= SHINGLE]
         self.vocabulary: dict[str, int] = {}
         # alike: items that share the words of most items stand together, as those of one language do
-        common_words = Counter(w for _, q, a in parts for w in set(q + a))
+        common_words = Counter(w for _, q, a, _ in parts for w in set(q + a))
         parts.sort(key=lambda x: sorted(((-common_words[w], w) for w in {*x[1], *x[2]}))[:3])
-        self.items = []
-        for i, q, a in parts:
+        self.items, self.copies = [], [x[3] for x in parts]
+        for i, q, a, _ in parts:
             ids = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in q + a]
             self.items.append((i, shingles(ids), set(ids[: len(q)]), set(ids[len(q) :]), ids))
         sizes = [len(x[4]) for x in self.items]
@@ -193,50 +201,101 @@ class Index:
                             "answer_overlap": parts[1],
                             "first_word": s,
                         }
-        return [best[k] for k in sorted(best)]
+        return [best[k] for k in sorted(best) for _ in range(self.copies[k])]
 
 
-def indexes(benchmark: DataFrame) -> Iterator[Index]:
-    """One index after the other, each over a bounded share of the items."""
-    rows = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where(
-        "text is not null"
+def index_shards(benchmark: DataFrame) -> tuple[DataFrame, int]:
+    """The pickled indexes, built in tasks and stored: shard, index; and the number of shards."""
+    items = (
+        benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+        .where("text is not null")
+        .groupBy("item_id", "text")
+        .count()
     )
-    size = rows.agg(F.sum(F.size(F.split("text", r"\W+")))).first()[0] or 0
-    shards = max(1, -(-size // INDEX_WORDS))
-    for shard in range(shards):
-        own = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard)
-        yield Index(sorted(((r.item_id, r.text) for r in own.collect()), key=str))
+    size = items.agg(F.sum(F.size(F.split("text", r"\W+")))).first()[0] or 0
+    shards = -(-size // INDEX_WORDS)
+
+    def build(group: pa.Table) -> pa.Table:
+        rows = sorted(group.to_pylist(), key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"]))
+        index = Index([(r["item_id"], r["text"]) for r in rows], [r["count"] for r in rows])
+        return pa.table({"shard": pa.array([rows[0]["shard"]], pa.int64()), "index": [pickle.dumps(index)]})
+
+    built = (
+        items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, shards))))
+        .groupBy("shard")
+        .applyInArrow(build, "shard bigint, index binary")
+    )
+    return common.stored(built, "benchmark-index"), shards
+
+
+_OPEN: dict[str, Index] = {}
+
+
+def opened(name: str, sent: Broadcast) -> Index:
+    """The index of a shard in this Python worker; opening one closes the one before."""
+    if name not in _OPEN:
+        _OPEN.clear()
+        _OPEN[name] = pickle.loads(sent.value)
+    return _OPEN[name]
+
+
+_LEAKS_ARROW = pa.list_(
+    pa.struct(
+        [
+            ("item_id", pa.int64()),
+            *((c, pa.float64()) for c in ("score", "overlap", "question_overlap", "answer_overlap")),
+            ("first_word", pa.int32()),
+        ]
+    )
+)
+
+
+def _asked(rows: DataFrame, sent: Broadcast, all_rows: bool) -> DataFrame:
+    """Columns key and leaks from key and text, for all rows or for those with leaks."""
+    name = uuid.uuid4().hex
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = opened(name, sent)
+        for batch in batches:
+            found = pa.array(map(index.leaks, batch.column(1).to_pylist()), _LEAKS_ARROW)
+            out = pa.RecordBatch.from_arrays([batch.column(0), found], names=["key", "leaks"])
+            yield out if all_rows else out.filter(pa.array([len(x) > 0 for x in found]))
+
+    schema = StructType([rows.schema["key"], *StructType.fromDDL(f"leaks {LEAKS}").fields])
+    return rows.select("key", "text").mapInArrow(run, schema)
 
 
 def with_leaks(docs: DataFrame, benchmark: DataFrame, *keep: str) -> DataFrame:
     """The columns ``keep`` with ``leaks``: the leaked items of each document, an empty array if none."""
-    leaks = pa.list_(
-        pa.struct(
-            [
-                ("item_id", pa.int64()),
-                *((c, pa.float64()) for c in ("score", "overlap", "question_overlap", "answer_overlap")),
-                ("first_word", pa.int32()),
-            ]
-        )
+    spark, none = docs.sparkSession, F.array().cast(LEAKS)
+    kept = F.struct(*(F.col(f"`{c}`") for c in keep))
+    rows = docs.select(kept.alias("key"), F.col("text").cast("string").alias("text"))
+    released = [F.col(f"key.`{c}`") for c in keep]
+    shards, n = index_shards(benchmark)
+
+    def send(shard: int) -> Broadcast:
+        blob = shards.where(F.col("shard") == shard).select("index").first()
+        return spark.sparkContext.broadcast(bytes(blob[0]) if blob else pickle.dumps(Index([])))
+
+    if n == 0:
+        return rows.select(*released, none.alias("leaks"))
+    if n == 1:
+        return _asked(rows, send(0), all_rows=True).select(*released, "leaks")
+    # the leaks of every shard are written before the next one is sent
+    rows = common.stored(
+        rows.select(F.col("key").alias("kept"), "text", F.monotonically_increasing_id().alias("key")),
+        "decontamination-documents",
     )
-    rows = docs.select(*(F.col(f"`{c}`") for c in keep), F.col("text").cast("string").alias("_text"))
-    rows = rows.withColumn("_leaks", F.array().cast(LEAKS))
-    ddl = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes)
-    for index in indexes(benchmark):
-        sent = docs.sparkSession.sparkContext.broadcast(index)
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                text, before = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
-                found = [
-                    old + sent.value.leaks(t) for old, t in zip(before.to_pylist(), text.to_pylist())
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:-1], pa.array(found, leaks)], names=[*keep, "_text", "_leaks"]
-                )
-
-        rows = rows.mapInArrow(run, ddl)
-    return rows.select(*(F.col(f"`{c}`") for c in keep), F.col("_leaks").alias("leaks"))
+    path = f"{checkpoint_dir(spark)}/webloom-leaks-{uuid.uuid4().hex}"
+    for shard in range(n):
+        sent = send(shard)
+        _asked(rows, sent, all_rows=False).withColumn("shard", F.lit(shard)).write.mode("append").parquet(path)
+        sent.destroy()
+    found = spark.read.schema(f"key bigint, leaks {LEAKS}, shard int").parquet(path)
+    found = found.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("shard", "leaks"))).alias("by_shard"))
+    found = found.select("key", F.flatten(F.transform("by_shard", lambda x: x["leaks"])).alias("found"))
+    joined = rows.select("key", "kept").join(found, "key", "left")
+    return joined.select(*(F.col(f"kept.`{c}`") for c in keep), F.coalesce("found", none).alias("leaks"))
 
 
 def op1_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
