@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import MEDIUM
-from webloom.functions.language import LanguageModel, normal_form, profile, trigrams
+from webloom.functions.language import LanguageModel, counted_grams, normal_form, profile, trigrams
 from webloom.schema import UNKNOWN_LANG
+from webloom.session import spread
 from webloom.sources import demo
 
 
@@ -72,3 +73,34 @@ def test_profile_size_is_checked(spark, monkeypatch):
     df = spark.createDataFrame([("xx", "abc")], "lang string, text string")
     with pytest.raises(ValueError):
         LanguageModel.fit(df)
+
+
+ODD = ["The the\rTHE\x0bthe o'clock", "ΟΔΟΣ ΣΑΣ aΣ.Σb İx", "𝒜𝒷c 𐐀𐐁𐐂 😀 日本語", "", " \n", "7", "a", None]
+
+
+@pytest.mark.parametrize("bound", [None, "_CHARS_AT_ONCE", "_PIECE_CHARS", "_GRAMS_HELD", "_DENSE_CELLS"])
+def test_grams_equal_those_of_words(spark, monkeypatch, bound):
+    if bound:
+        monkeypatch.setattr(f"webloom.functions.language.{bound}", 3)
+    df = spark.createDataFrame([(code, t) for code in ("xx", "yy") for t in ODD] + [(None, "abc")], "lang string, text string")
+    words = df.where("lang IS NOT NULL").select("lang", F.explode(F.split(F.trim(normal_form(F.col("text"))), " ")).alias("w"))
+    grams = words.where("w <> ''").select("lang", F.explode(trigrams(F.concat(F.lit(" "), "w", F.lit(" ")))).alias("gram"))
+    plain = {(r[0], r[1]): r[2] for r in grams.groupBy("lang", "gram").count().collect()}
+    got = Counter()
+    for r in counted_grams(df).collect():
+        got[r["lang"], r["gram"]] += r["n"]
+    assert got == plain
+
+
+def test_a_task_hands_on_each_gram_once(spark):
+    """Neither words nor the vocabulary become rows: what leaves a task is as small as its trigrams."""
+    rows = [("xx", f"ab{'a' * (i % 50)}b ab") for i in range(2000)]
+    df = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    found = counted_grams(df).collect()
+    assert len(found) == len({r["gram"] for r in found}) < 10
+
+
+def test_few_partitions_are_dealt_to_whole_waves(spark):
+    cores = spark.sparkContext.defaultParallelism
+    parts = lambda n: spread(spark.range(1000).repartition(n), "id").rdd.getNumPartitions()
+    assert [parts(1), parts(cores + 1), parts(3 * cores + 1), parts(4 * cores)] == [cores, 2 * cores, 4 * cores, 4 * cores]

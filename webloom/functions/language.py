@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -21,6 +22,11 @@ MAX_LANGUAGES = 1000
 _SLICE_CHARS = 1 << 18
 _SLICE_CELLS = 1 << 22
 _DENSE_CELLS = 1 << 22
+# Characters that are counted at once while fitting, and distinct trigrams that a task holds.
+_CHARS_AT_ONCE = 1 << 22
+_PIECE_CHARS = 1 << 17
+_GRAMS_HELD = 1 << 20
+_CODE_BITS = 21
 
 
 def normal_form(text: Column) -> Column:
@@ -35,23 +41,94 @@ def trigrams(normal: Column) -> Column:
     return F.concat(*(F.regexp_extract_all(s, F.lit("..."), F.lit(0)) for s in shifted))
 
 
+def _count_grams(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The trigrams of code points around each that is no blank, packed in one number, and their counts."""
+    present = np.zeros(sys.maxunicode + 1, dtype=bool)
+    present[points] = True
+    letters = np.flatnonzero(present)
+    size = len(letters)
+    dense = size**3 <= _DENSE_CELLS
+    place = np.zeros(sys.maxunicode + 1, dtype=np.int32 if dense else np.int64)
+    place[letters] = np.arange(size)
+    if dense:
+        counts = np.zeros(size**3, np.int64)
+        for i in range(0, len(points) - 2, _PIECE_CHARS):
+            ids = place[points[i : i + _PIECE_CHARS + 2]]
+            counts += np.bincount((ids[:-2] * size + ids[1:-1]) * size + ids[2:], minlength=len(counts))
+        numbers = np.flatnonzero(counts)
+        counts = counts[numbers]
+    else:
+        ids = place[points]
+        numbers, counts = np.unique((ids[:-2] * size + ids[1:-1]) * size + ids[2:], return_counts=True)
+    first, rest = np.divmod(numbers, size * size)
+    second, third = np.divmod(rest, size)
+    keys = (letters[first] << _CODE_BITS | letters[second]) << _CODE_BITS | letters[third]
+    within = letters[second] != ord(" ")
+    return keys[within], counts[within]
+
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, place = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(place, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
+
+
+def _gram_texts(keys: np.ndarray) -> list[str]:
+    points = np.stack([keys >> 2 * _CODE_BITS, keys >> _CODE_BITS, keys], axis=1) & ((1 << _CODE_BITS) - 1)
+    text = points.astype("<u4").tobytes().decode("utf-32-le")
+    return [text[i : i + 3] for i in range(0, len(text), 3)]
+
+
+def counted_grams(labelled: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """``lang, gram, n``: trigrams within words and their two blanks, counted within each task.
+
+    One narrow Arrow step over normal forms. A task hands on its counts at its end, and whenever it
+    holds ``_GRAMS_HELD`` trigrams, so a trigram may come in several rows.
+    """
+    at_once, held = _CHARS_AT_ONCE, _GRAMS_HELD
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[str, list[str]] = {}
+        found: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        chars = 0
+
+        def settle() -> None:
+            # every form has a blank at either end, so no trigram reaches from one into the next
+            for code, forms in waiting.items():
+                points = np.frombuffer("".join(forms).encode("utf-32-le"), dtype="<u4")
+                fresh = _count_grams(points)
+                found[code] = _merged([found[code], fresh]) if code in found else fresh
+            waiting.clear()
+
+        def handed_on() -> Iterator[pa.RecordBatch]:
+            for code, (keys, counts) in found.items():
+                columns = [pa.repeat(code, len(keys)), pa.array(_gram_texts(keys), pa.string()), pa.array(counts, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "gram", "n"])
+            found.clear()
+
+        for batch in batches:
+            for code, form in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                waiting.setdefault(code, []).append(form)
+                chars += len(form)
+                if chars >= at_once:
+                    settle()
+                    chars = 0
+                    if sum(len(keys) for keys, _ in found.values()) >= held:
+                        yield from handed_on()
+        settle()
+        yield from handed_on()
+
+    forms = labelled.select(F.col(lang).alias("lang"), normal_form(F.col(text)).alias("form")).dropna()
+    return forms.mapInArrow(count, "lang string, gram string, n bigint")
+
+
 def profile(labelled: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The ``PROFILE_GRAMS`` most frequent trigrams of each language, with their weights.
 
-    Trigrams stay within one word and its two blanks, so they are counted per distinct word:
-    words merge on the map side first, and only the vocabulary is cut into trigrams. A
-    dominant language spreads over its words, then over its trigrams; the rank filter is
-    applied per task before the ranking shuffle.
+    Trigrams stay within one word and its two blanks. Tasks count them as numbers and hand on each
+    once, so no word is ever a row and the vocabulary does not matter; the rank filter is applied per
+    task before the ranking shuffle.
     """
-    word_list = F.split(F.trim(normal_form(F.col(text))), " ")
-    words = labelled.where(F.col(lang).isNotNull()).select(
-        F.col(lang).alias("lang"), F.explode(word_list).alias("word")
-    )
-    vocabulary = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
-    padded = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
-    grams = vocabulary.where(F.col("word") != "").select(
-        "lang", "n", F.explode(trigrams(padded)).alias("gram")
-    )
+    grams = counted_grams(labelled, text, lang)
     counts = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     ranked = counts.withColumn("rank", rank).where(F.col("rank") <= PROFILE_GRAMS)

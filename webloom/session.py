@@ -28,14 +28,23 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Waves of tasks from which the last one, with fewer tasks than cores, no longer matters.
+WAVES = 4
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores on an input with fewer partitions than cores; else leave it alone.
+    """Use all cores to the end on an input of few partitions; else leave it alone.
 
-    Text extraction is bound by CPU, so a file that fits one partition is worth a shuffle.
-    Large inputs have more partitions than cores and are never moved.
+    Text extraction is bound by CPU, so a file that fits one partition is worth a shuffle, and so are
+    files that are a few more than cores: most cores would wait for those of the last wave. They are dealt
+    evenly to whole waves, two at least. Inputs of ``WAVES`` partitions a core or more are never moved.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    cores, parts = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    if parts < cores:
+        return df.repartition(cores, *keys)
+    if parts < WAVES * cores:
+        return df.repartition(max(2, -(-parts // cores)) * cores, *keys)
+    return df
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
