@@ -79,6 +79,27 @@ def test_a_large_group_and_a_hot_passage(docs_of):
     assert kept == {0, *range(1000, 1200)}
 
 
+def test_a_group_is_not_compared_pair_by_pair(docs_of, monkeypatch):
+    """Copies that differ from each other but not from a text between them: one group, a few comparisons each."""
+    rng = random.Random(4)
+    base = [f"b{i}" for i in range(100)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 200):
+        own = list(base)
+        for at in rng.sample(range(10, 90), 2):  # every changed word takes five shingles
+            own[at] = f"x{i}-{at}"
+        rows.append((i, " ".join(own)))
+    counts, measured = [], near_copies._measured
+
+    def watched(pairs, sets):
+        counts.append(pairs.count())
+        return measured(pairs, sets)
+
+    monkeypatch.setattr(near_copies, "_measured", watched)
+    assert [r.doc_id for r in near_copies.one_of_each(docs_of(rows)).collect()] == [0]
+    assert sum(counts) < near_copies.BANDS * len(rows)
+
+
 def test_bands_find_pairs_at_the_border():
     rng = np.random.default_rng(3)
     found = 0

@@ -9,9 +9,11 @@ exactly on the sets. Candidates for that check come from buckets:
 
 Texts with the same set of shingles form a class, and only classes go on. All classes of a bucket are
 compared with the first one, then with the first few that are not similar to it, and so on until each is
-a leader or similar to one. Neither the pairs of a bucket nor its members are ever gathered. Of two
-texts that stay and share a bucket, the later was compared with the earlier and found different. Groups that hang
-together only by links between texts of which neither leads in any bucket stay two groups.
+a leader or similar to one. After each such round the links are joined to groups, and texts of one group are
+not compared any more, so a large group of near copies costs a few comparisons a text, not its square. Neither
+the pairs of a bucket nor its members are ever gathered. Two texts that stay and share a bucket are different:
+they were compared, or are too far apart from a third. Groups that hang together only by links between texts of
+which neither leads in any bucket stay two groups.
 
 Defined cases: a null text is an empty one, and texts without a word are equal; a text of fewer than five
 words is one shingle; a null id comes after all others; equal rows are one text; an empty table stays empty; extra columns
@@ -90,48 +92,99 @@ def _sets(rows: DataFrame) -> DataFrame:
     return rows.select("c", F.col("text").cast("binary").alias("text")).mapInArrow(run, "c bigint, shingles array<bigint>")
 
 
-def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose sets are similar."""
+def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (u, v) with their Jaccard distance ``apart``, and whether they are ``similar``."""
     of = lambda key, name: sets.select(F.col("c").alias(key), F.col("shingles").alias(name))
     both = pairs.join(of("v", "a"), "v").join(of("u", "b"), "u")
     shared = F.size(F.array_intersect("a", "b"))
-    union = F.size("a") + F.size("b") - shared
-    return both.where(SIMILAR[1] * shared >= SIMILAR[0] * union).select("u", "v")
+    counted = both.select("u", "v", shared.alias("shared"), (F.size("a") + F.size("b") - shared).alias("union"))
+    return counted.select(
+        "u",
+        "v",
+        (SIMILAR[1] * F.col("shared") >= SIMILAR[0] * F.col("union")).alias("similar"),
+        (1 - F.col("shared") / F.col("union")).alias("apart"),
+    )
+
+
+def _alone(sets: DataFrame) -> DataFrame:
+    """(c, alone): how many shingles of a class are in no other class; classes without one are left out."""
+    holders = sets.select("c", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("k"), F.min("c").alias("c"))
+    return holders.where("k = 1").groupBy("c").agg(F.count("*").alias("alone"))
+
 
+def _contracted(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` (c, root) after the links (u, v) between its classes."""
+    of = lambda key: roots.select(F.col("c").alias(key), F.col("root").alias(f"{key}_root"))
+    between = links.join(of("u"), "u").join(of("v"), "v").select(F.col("u_root").alias("u"), F.col("v_root").alias("v"))
+    groups = connected(between).select("node", F.col("root").alias("now"))
+    moved = roots.join(groups, F.col("root") == F.col("node"), "left")
+    return common.stored(moved.select("c", F.coalesce("now", "root").alias("root")), "roots")
 
-def links(sets: DataFrame, members: DataFrame) -> DataFrame | None:
-    """(u, v) links among similar classes; ``members`` are rows (band, value, c, n) of buckets of two or more.
 
-    None if there are none. A round takes some leaders of each bucket, the first classes that are neither
-    leaders nor similar to one, and compares them with all classes of the bucket. The number of leaders grows by
-    rounds, so there are few rounds also where many texts of a bucket differ.
+def linked_roots(sets: DataFrame, members: DataFrame) -> DataFrame:
+    """(c, root) of the classes in ``members``, rows (band, value, c, n) of buckets of two or more.
+
+    A round takes some leaders of each bucket, the first classes that are neither leaders nor similar to one, and
+    compares them with the classes of the bucket. The number of leaders grows by rounds, so there are few rounds
+    also where many texts of a bucket differ. Left out are only pairs whose answer is known: both are of one
+    group already, or their distances from the first leader of the bucket differ by more than similar texts may
+    be apart (the Jaccard distance obeys the triangle inequality), or too many of their shingles are in no other
+    class. A bucket of one group is done.
     """
-    found: list[DataFrame] = []
+    members = members.join(_alone(sets), "c", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
+    roots = common.stored(members.select("c").distinct().withColumn("root", F.col("c")), "roots")
+    now = members.withColumns({"root": F.col("c"), "free": F.lit(True), "far": F.lit(None).cast("double")})
     checked: list[DataFrame] = []
-    free, most = members, 1
-    first = Window.partitionBy("band", "value").orderBy("c")
+    most = 1
+    bucket = ["band", "value"]
+    first = Window.partitionBy(*bucket).orderBy("c")
     while True:
         # stored, so that both sides of each join are plain exchanges that can be split at a hot bucket
-        leaders = free.withColumn("k", F.row_number().over(first)).where(F.col("k") <= most)
-        leaders = common.stored(leaders.select("band", "value", F.col("c").alias("leader"), F.col("n").alias("m")), "leaders")
+        leaders = now.where("free").withColumn("k", F.row_number().over(first)).where(F.col("k") <= most)
+        leaders = common.stored(
+            leaders.select(
+                *bucket,
+                F.col("c").alias("leader"),
+                F.col("n").alias("m"),
+                F.col("alone").alias("lone"),
+                F.col("root").alias("of"),
+                F.col("far").alias("off"),
+            ),
+            "leaders",
+        )
         if leaders.isEmpty():
-            break
-        # similar sets have similar sizes
-        sized = (SIMILAR[1] * F.least("n", "m") >= SIMILAR[0] * F.greatest("n", "m")) & (F.col("c") != F.col("leader"))
-        met = members.join(leaders, ["band", "value"]).where(sized).select(
-            "band", "value", "c", F.greatest("c", "leader").alias("u"), F.least("c", "leader").alias("v")
+            return roots
+        # shingles of one class alone are in the union of a pair, but not shared; similar sets have similar sizes
+        most_shared = F.least(F.col("n") - F.col("alone"), F.col("m") - F.col("lone"))
+        least_union = F.greatest(F.col("n") + F.col("lone"), F.col("m") + F.col("alone"))
+        sized = SIMILAR[1] * most_shared >= SIMILAR[0] * least_union
+        near = F.coalesce(F.abs(F.col("far") - F.col("off")) <= 1 - SIMILAR[0] / SIMILAR[1] + 1e-9, F.lit(True))
+        met = now.join(leaders, bucket).where(sized & near & (F.col("root") != F.col("of"))).select(
+            *bucket, "c", F.greatest("c", "leader").alias("u"), F.least("c", "leader").alias("v")
         )
         met = common.stored(met, "met")
         pairs = met.select("u", "v").distinct()
-        for c in checked:
-            pairs = pairs.join(c, ["u", "v"], "left_anti")
-        checked.append(common.stored(pairs, "pairs"))
-        found.append(common.stored(_similar(checked[-1], sets), "similar"))
-        attached = met.join(reduce(DataFrame.unionByName, found), ["u", "v"]).select("band", "value", "c").distinct()
-        gone = attached.unionByName(leaders.select("band", "value", F.col("leader").alias("c")))
-        free = common.stored(free.join(gone, ["band", "value", "c"], "left_anti"), "free")
+        if checked:
+            pairs = pairs.join(reduce(DataFrame.unionByName, checked).select("u", "v"), ["u", "v"], "left_anti")
+        checked.append(common.stored(_measured(pairs, sets), "measured"))
+        links = checked[-1].where("similar").select("u", "v")
+        if not links.isEmpty():
+            roots = _contracted(roots, links)
+        seen = met.join(reduce(DataFrame.unionByName, checked), ["u", "v"])
+        told = (
+            seen.select(*bucket, "c", "similar", "apart")
+            .unionByName(leaders.select(*bucket, F.col("leader").alias("c"), F.lit(True).alias("similar"), F.lit(0.0).alias("apart")))
+            .groupBy(*bucket, "c")
+            .agg(F.bool_or("similar").alias("told"), F.min("apart").alias("apart"))
+        )
+        # in the first round there is one leader
+        far = F.coalesce("far", "apart") if len(checked) == 1 else F.col("far")
+        left = now.drop("root").join(told, [*bucket, "c"], "left").join(roots, "c")
+        left = left.select(*bucket, "c", "n", "alone", "root", (F.col("free") & ~F.coalesce("told", F.lit(False))).alias("free"), far.alias("far"))
+        left = common.stored(left, "members")
+        mixed = left.groupBy(*bucket).agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+        now = common.stored(left.join(mixed.select(*bucket), bucket), "members")
         most *= 4
-    return reduce(DataFrame.unionByName, found) if found else None
 
 
 def grouped(docs: DataFrame) -> DataFrame:
@@ -159,12 +212,8 @@ def grouped(docs: DataFrame) -> DataFrame:
     # equal rows have equal texts: one of each class is enough
     once = texts.groupBy("c").agg(F.min("text").alias("text"))
     sets = common.stored(_sets(once), "sets")
-    found = links(sets, members)
-    named = classes.select("k1", "k2", F.col("c").alias("root"))
-    if found is not None:
-        groups = connected(found)
-        joined = classes.join(groups, F.col("c") == F.col("node"), "left")
-        named = joined.select("k1", "k2", F.coalesce("root", "c").alias("root"))
+    groups = linked_roots(sets, members)
+    named = classes.join(groups, "c", "left").select("k1", "k2", F.coalesce("root", "c").alias("root"))
     roots = common.stored(named, "roots")
     return rows.join(roots, ["k1", "k2"]).select("doc_id", "_mark", "root")
 
