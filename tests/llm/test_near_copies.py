@@ -5,6 +5,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import MEDIUM
 from tests.llm.test_search import roots
@@ -100,6 +101,63 @@ def test_a_group_is_not_compared_pair_by_pair(docs_of, monkeypatch):
     assert sum(counts) < near_copies.BANDS * len(rows)
 
 
+def test_texts_that_are_similar_to_none_are_not_compared_with_a_whole_bucket(docs_of, monkeypatch):
+    """Most share bands with the others, as half of their shingles are the same, but are too far apart."""
+    rng = random.Random(6)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for i in range(250):
+        own = list(base)
+        for at in rng.sample(range(5, 145), rng.choice([2, 5, 6])):
+            own[at] = f"x{i}-{at}"
+        rows.append((i, " ".join(own)))
+    counts, measured = [], near_copies._measured
+
+    def watched(pairs, sets):
+        counts.append(pairs.count())
+        return measured(pairs, sets)
+
+    monkeypatch.setattr(near_copies, "_measured", watched)
+    kept = {r.doc_id for r in near_copies.one_of_each(docs_of(rows)).collect()}
+    want, links, sets = plain_kept(rows)
+    assert want <= kept and len(kept) > 100
+    assert not any(similar(sets[a], sets[b]) for a, b in combinations(sorted(kept), 2))
+    assert sum(counts[1:]) < len(links) + len(rows)
+
+
+def test_bits_rule_out_no_similar_pair(llm_spark):
+    rng = random.Random(8)
+    texts = ["", "one", "one two"]
+    for n in (6, 12, 24, 104, 704):  # a changed end takes one shingle, a changed word five
+        base = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        texts.append(" ".join(base))
+        texts += [" ".join([*base[:-k], *(f"e{j}" for j in range(k))]) for k in (1, n // 12 or 1, n // 9 or 1, n // 6 or 1)]
+        for k in (1, 2, 4, n // 40 or 1):
+            own = list(base)
+            for at in rng.sample(range(n), min(k, n)):
+                own[at] = f"x{at}"
+            texts.append(" ".join(own))
+    known = near_copies._sets(llm_spark.createDataFrame(list(enumerate(texts)), "c bigint, text string"))
+    own = known.select("c", "n", "odd")
+    its = known.select(F.col("c").alias("leader"), F.col("n").alias("m"), F.col("odd").alias("its"))
+    may = {(r.c, r.leader) for r in own.crossJoin(its).where(near_copies._may_be_similar()).collect()}
+    sets = [plain_set(t) for t in texts]
+    near = {(a, b) for a, x in enumerate(sets) for b, y in enumerate(sets) if similar(x, y)}
+    assert near <= may and len(near) > 2 * len(texts)
+    assert len(may) < len(near) + len(texts)
+
+
+def test_rows_that_may_be_among_keys(llm_spark):
+    rows = llm_spark.createDataFrame([(i if i % 50 else None, f"t{i}") for i in range(4000)], "i bigint, t string")
+    keys = rows.where("t like '%7' or i is null")
+    found = common.may_hold(rows, keys, "i", "t")
+    assert found.columns == ["i", "t", "_may"] and found.count() == 4000
+    may = found.where("_may").drop("_may")
+    assert keys.exceptAll(may).count() == 0
+    assert may.count() < keys.count() + 20
+    assert common.may_hold(rows, rows.limit(0), "i", "t").where("_may").count() == 0
+
+
 def test_bands_find_pairs_at_the_border():
     rng = np.random.default_rng(3)
     found = 0

@@ -49,6 +49,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Bits to a number and numbers of a ``may_hold`` table: 16 million bits, so the table has a bound.
+_WORDS_LOG2 = 18
+
+
+def may_hold(df: DataFrame, keys: DataFrame, *by: str) -> DataFrame:
+    """``df`` with a column ``_may``, false only where no row of ``keys`` has the same values in the columns ``by``.
+
+    For a join of a few keys with wide rows: rows that are out for certain need not be shuffled, those that
+    may be in still need the join. A bit is set for the hash of every key, in at most 2 ** 18 numbers of 64 bits, which
+    are sent to all tasks. With very many keys most bits are set and most rows stay; none is ever lost.
+    """
+    hashed = F.xxhash64(*by)
+    word, bit = F.shiftrightunsigned(hashed, 64 - _WORDS_LOG2), hashed.bitwiseAND(F.lit(63)).cast("int")
+    words = keys.select(word.alias("_word"), bit.alias("_bit")).groupBy("_word")
+    words = stored(words.agg(F.expr("bit_or(shiftleft(1L, _bit))").alias("_bits")), "words")
+    found = df.withColumn("_at", word).join(F.broadcast(words), F.col("_at") == F.col("_word"), "left")
+    may = F.coalesce(F.getbit("_bits", bit) == 1, F.lit(False))
+    return found.withColumn("_may", may).drop("_at", "_word", "_bits")
+
+
 def fold(doc_id: Column | str) -> Column:
     """crc32 of the id as text, modulo 3; null for a null id."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % 3

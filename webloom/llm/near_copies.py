@@ -10,10 +10,12 @@ exactly on the sets. Candidates for that check come from buckets:
 Texts with the same set of shingles form a class, and only classes go on. All classes of a bucket are
 compared with the first one, then with the first few that are not similar to it, and so on until each is
 a leader or similar to one. After each such round the links are joined to groups, and texts of one group are
-not compared any more, so a large group of near copies costs a few comparisons a text, not its square. Neither
-the pairs of a bucket nor its members are ever gathered. Two texts that stay and share a bucket are different:
-they were compared, or are too far apart from a third. Groups that hang together only by links between texts of
-which neither leads in any bucket stay two groups.
+not compared any more, so a large group of near copies costs a few comparisons a text, not its square. From the
+second round on the sizes and 1 024 bits of each set are looked at first: they tell of almost all pairs of
+texts of some hundred words that they differ too much, so texts that are similar to none, in a bucket of many, make no
+rows either. Neither the pairs of a bucket nor its members are ever gathered. Two texts that stay and share a
+bucket are different: their sets, sizes or bits were compared. Groups that hang together only by links between texts
+of which neither leads in any bucket stay two groups.
 
 Defined cases: a null text is an empty one, and texts without a word are equal; a text of fewer than five
 words is one shingle; a null id comes after all others; equal rows are one text; an empty table stays empty; extra columns
@@ -28,7 +30,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webloom.llm import common, simhash
@@ -38,6 +40,7 @@ SHINGLE = 5
 SIMILAR = (8, 10)  # as a fraction, so that the check is exact
 BANDS = 36
 ROWS = 6
+WORDS = 16  # of 64 bits, for the bound on the shingles that only one of two sets has
 _AT_ONCE = 1 << 12
 
 _rng = np.random.default_rng(11)
@@ -80,36 +83,40 @@ def sketched(docs: DataFrame) -> DataFrame:
 
 
 def _sets(rows: DataFrame) -> DataFrame:
-    """(c, shingles) of rows (c, text)."""
+    """(c, n, shingles, odd) of rows (c, text): the set, its size, and bits for a bound on how far sets are apart.
+
+    A shingle turns one of ``64 * WORDS`` bits. Bits that differ between two sets stem from shingles that are in one
+    of them only, so there are at least as many such shingles.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [np.unique(simhash.shingle_hashes(t, SHINGLE)).view(np.int64) for t in batch.column(1).to_pylist()]
+            own = [np.unique(simhash.shingle_hashes(t, SHINGLE)) for t in batch.column(1).to_pylist()]
+            at = [(s % np.uint64(64 * WORDS)).astype(np.int64) for s in own]
+            odd = [np.packbits(np.bincount(a, minlength=64 * WORDS) % 2 == 1).view("<i8") for a in at]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(own, pa.list_(pa.int64()))], names=["c", "shingles"]
+                [
+                    batch.column(0),
+                    pa.array(map(len, own), pa.int64()),
+                    pa.array([s.view(np.int64) for s in own], pa.list_(pa.int64())),
+                    pa.array(odd, pa.list_(pa.int64())),
+                ],
+                names=["c", "n", "shingles", "odd"],
             )
 
-    return rows.select("c", F.col("text").cast("binary").alias("text")).mapInArrow(run, "c bigint, shingles array<bigint>")
+    texts = rows.select("c", F.col("text").cast("binary").alias("text"))
+    return texts.mapInArrow(run, "c bigint, n bigint, shingles array<bigint>, odd array<bigint>")
 
 
 def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (u, v) with their Jaccard distance ``apart``, and whether they are ``similar``."""
-    of = lambda key, name: sets.select(F.col("c").alias(key), F.col("shingles").alias(name))
+    """The pairs (u, v) and whether they are ``similar``."""
+    ends = pairs.select(F.col("u").alias("c")).unionByName(pairs.select(F.col("v").alias("c")))
+    needed = common.may_hold(sets, ends, "c").where("_may")
+    of = lambda key, name: needed.select(F.col("c").alias(key), F.col("shingles").alias(name))
     both = pairs.join(of("v", "a"), "v").join(of("u", "b"), "u")
     shared = F.size(F.array_intersect("a", "b"))
     counted = both.select("u", "v", shared.alias("shared"), (F.size("a") + F.size("b") - shared).alias("union"))
-    return counted.select(
-        "u",
-        "v",
-        (SIMILAR[1] * F.col("shared") >= SIMILAR[0] * F.col("union")).alias("similar"),
-        (1 - F.col("shared") / F.col("union")).alias("apart"),
-    )
-
-
-def _alone(sets: DataFrame) -> DataFrame:
-    """(c, alone): how many shingles of a class are in no other class; classes without one are left out."""
-    holders = sets.select("c", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("k"), F.min("c").alias("c"))
-    return holders.where("k = 1").groupBy("c").agg(F.count("*").alias("alone"))
+    return counted.select("u", "v", (SIMILAR[1] * F.col("shared") >= SIMILAR[0] * F.col("union")).alias("similar"))
 
 
 def _contracted(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -121,19 +128,26 @@ def _contracted(roots: DataFrame, links: DataFrame) -> DataFrame:
     return common.stored(moved.select("c", F.coalesce("now", "root").alias("root")), "roots")
 
 
+def _may_be_similar() -> Column:
+    """False only for a class (n, odd) and a leader (m, its) that are not similar, by two bounds on what one has alone."""
+    bits = [F.bit_count(F.col("odd")[i].bitwiseXOR(F.col("its")[i])) for i in range(WORDS)]
+    apart = F.greatest(F.abs(F.col("n") - F.col("m")), sum(bits[1:], bits[0]))
+    # shared >= s * union, where shared = (n + m - apart) / 2 and union = (n + m + apart) / 2
+    return (SIMILAR[1] + SIMILAR[0]) * apart <= (SIMILAR[1] - SIMILAR[0]) * (F.col("n") + F.col("m"))
+
+
 def linked_roots(sets: DataFrame, members: DataFrame) -> DataFrame:
-    """(c, root) of the classes in ``members``, rows (band, value, c, n) of buckets of two or more.
+    """(c, root) of the classes in ``members``, rows (band, value, c) of buckets of two or more.
 
     A round takes some leaders of each bucket, the first classes that are neither leaders nor similar to one, and
     compares them with the classes of the bucket. The number of leaders grows by rounds, so there are few rounds
     also where many texts of a bucket differ. Left out are only pairs whose answer is known: both are of one
-    group already, or their distances from the first leader of the bucket differ by more than similar texts may
-    be apart (the Jaccard distance obeys the triangle inequality), or too many of their shingles are in no other
-    class. A bucket of one group is done.
+    group already, or their sizes or the bits of their shingles show more shingles that only one of them has than
+    similar texts may have. A bucket of one group is done.
     """
-    members = members.join(_alone(sets), "c", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
     roots = common.stored(members.select("c").distinct().withColumn("root", F.col("c")), "roots")
-    now = members.withColumns({"root": F.col("c"), "free": F.lit(True), "far": F.lit(None).cast("double")})
+    now = members.withColumns({"root": F.col("c"), "free": F.lit(True)})
+    known = sets.select("c", "n", "odd")
     checked: list[DataFrame] = []
     most = 1
     bucket = ["band", "value"]
@@ -141,49 +155,33 @@ def linked_roots(sets: DataFrame, members: DataFrame) -> DataFrame:
     while True:
         # stored, so that both sides of each join are plain exchanges that can be split at a hot bucket
         leaders = now.where("free").withColumn("k", F.row_number().over(first)).where(F.col("k") <= most)
-        leaders = common.stored(
-            leaders.select(
-                *bucket,
-                F.col("c").alias("leader"),
-                F.col("n").alias("m"),
-                F.col("alone").alias("lone"),
-                F.col("root").alias("of"),
-                F.col("far").alias("off"),
-            ),
-            "leaders",
-        )
+        own = [F.col("n").alias("m"), F.col("odd").alias("its")] if checked else []
+        leaders = leaders.select(*bucket, F.col("c").alias("leader"), F.col("root").alias("of"), *own)
+        leaders = common.stored(leaders, "leaders")
         if leaders.isEmpty():
             return roots
-        # shingles of one class alone are in the union of a pair, but not shared; similar sets have similar sizes
-        most_shared = F.least(F.col("n") - F.col("alone"), F.col("m") - F.col("lone"))
-        least_union = F.greatest(F.col("n") + F.col("lone"), F.col("m") + F.col("alone"))
-        sized = SIMILAR[1] * most_shared >= SIMILAR[0] * least_union
-        near = F.coalesce(F.abs(F.col("far") - F.col("off")) <= 1 - SIMILAR[0] / SIMILAR[1] + 1e-9, F.lit(True))
-        met = now.join(leaders, bucket).where(sized & near & (F.col("root") != F.col("of"))).select(
-            *bucket, "c", F.greatest("c", "leader").alias("u"), F.least("c", "leader").alias("v")
-        )
+        # in the first round there is one leader, so there is no more than a row for each member
+        met = now.join(leaders, bucket).where(F.col("root") != F.col("of")).where(_may_be_similar() if checked else F.lit(True))
+        met = met.select(*bucket, "c", F.greatest("c", "leader").alias("u"), F.least("c", "leader").alias("v"))
         met = common.stored(met, "met")
         pairs = met.select("u", "v").distinct()
         if checked:
             pairs = pairs.join(reduce(DataFrame.unionByName, checked).select("u", "v"), ["u", "v"], "left_anti")
-        checked.append(common.stored(_measured(pairs, sets), "measured"))
+        checked.append(common.stored(_measured(common.stored(pairs, "pairs"), sets), "measured"))
         links = checked[-1].where("similar").select("u", "v")
         if not links.isEmpty():
             roots = _contracted(roots, links)
-        seen = met.join(reduce(DataFrame.unionByName, checked), ["u", "v"])
-        told = (
-            seen.select(*bucket, "c", "similar", "apart")
-            .unionByName(leaders.select(*bucket, F.col("leader").alias("c"), F.lit(True).alias("similar"), F.lit(0.0).alias("apart")))
-            .groupBy(*bucket, "c")
-            .agg(F.bool_or("similar").alias("told"), F.min("apart").alias("apart"))
-        )
-        # in the first round there is one leader
-        far = F.coalesce("far", "apart") if len(checked) == 1 else F.col("far")
+        similar = reduce(DataFrame.unionByName, checked).where("similar").select("u", "v")
+        told = met.join(similar, ["u", "v"]).select(*bucket, "c")
+        told = told.unionByName(leaders.select(*bucket, F.col("leader").alias("c"))).distinct().withColumn("told", F.lit(True))
         left = now.drop("root").join(told, [*bucket, "c"], "left").join(roots, "c")
-        left = left.select(*bucket, "c", "n", "alone", "root", (F.col("free") & ~F.coalesce("told", F.lit(False))).alias("free"), far.alias("far"))
+        left = left.withColumn("free", F.col("free") & F.col("told").isNull()).drop("told")
         left = common.stored(left, "members")
         mixed = left.groupBy(*bucket).agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-        now = common.stored(left.join(mixed.select(*bucket), bucket), "members")
+        now = left.join(mixed.select(*bucket), bucket)
+        if len(checked) == 1:
+            now = now.join(known, "c")
+        now = common.stored(now, "members")
         most *= 4
 
 
@@ -197,18 +195,20 @@ def grouped(docs: DataFrame) -> DataFrame:
     # numbered in the order of their first rows, so the smallest number of a group is its first row
     classes = common.stored(distinct.orderBy("rep").withColumn("c", F.monotonically_increasing_id()), "classes")
     components = simhash.components(classes.select("fp"))
-    by_band = classes.select(F.posexplode("bands").alias("band", "value"), "c", "n")
-    by_print = classes.join(components, "fp").select(F.lit(-1).alias("band"), F.col("root").alias("value"), "c", "n")
-    buckets = common.stored(by_band.unionByName(by_print), "buckets")
+    by_band = classes.select(F.posexplode("bands").alias("band", "value"), "c")
+    by_print = classes.join(components, "fp").select(F.lit(-1).alias("band"), F.col("root").alias("value"), "c")
+    buckets = by_band.unionByName(common.stored(by_print, "prints"))
     shared = common.stored(
         buckets.groupBy("band", "value").agg(F.count("*").alias("size")).where("size > 1").drop("size"), "shared"
     )
-    members = common.stored(buckets.join(shared, ["band", "value"]), "members")
+    maybe = common.may_hold(buckets, shared, "band", "value").where("_may")
+    members = common.stored(maybe.join(shared, ["band", "value"]).select("band", "value", "c"), "members")
     involved = members.select("c").distinct()
     reps = common.stored(
-        classes.join(involved, "c").select("c", F.col("rep.i").alias("_i"), F.col("rep.m").alias("_m")), "involved"
+        classes.join(involved, "c").select("c", F.col("rep.i").alias("_i"), F.col("rep.m").alias("_m")), "reps"
     )
-    texts = docs.join(reps, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("_mark") == F.col("_m")))
+    maybe = common.may_hold(docs, reps.select(F.col("_i").alias("doc_id"), F.col("_m").alias("_mark")), "doc_id", "_mark")
+    texts = maybe.where("_may").join(reps, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("_mark") == F.col("_m")))
     # equal rows have equal texts: one of each class is enough
     once = texts.groupBy("c").agg(F.min("text").alias("text"))
     sets = common.stored(_sets(once), "sets")

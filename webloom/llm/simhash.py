@@ -133,23 +133,23 @@ def op10_vantage_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def first_rows(slim: DataFrame, named: DataFrame) -> DataFrame:
     """One row of every ``root``: the one with the smallest id.
 
-    ``slim`` has (doc_id, _mark) and others, ``named`` (doc_id, _mark, root). Rows that share that id are told
-    apart by ``_mark``, a hash of their text, and equal rows are kept once.
+    ``slim`` has (doc_id, _mark) and others, ``named`` has (doc_id, _mark, root) of all its rows. Rows that share
+    that id are told apart by ``_mark``, a hash of their text, and equal rows are kept once. Only rows that may go,
+    or stay once of several, are shuffled.
     """
+    keys = named.groupBy("doc_id", "_mark").agg(F.min("root").alias("root"), F.count("*").alias("n"))
+    keys = common.stored(keys, "keys")
     # the first row of each component by (id, text); nulls last, as in the name of a component
     order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col("_mark").alias("m"))
-    first = named.groupBy("root").agg(F.min(order).alias("w"))
-    winners = first.select(F.col("w.i").alias("_i"), F.col("w.m").alias("_m"))
-    same = slim.groupBy("doc_id", "_mark").agg(F.count("*").alias("n"))
-    winners = common.stored(
-        winners.join(same, F.col("_i").eqNullSafe(F.col("doc_id")) & (F.col("_m") == F.col("_mark")))
-        .groupBy("_i", "_m")
-        .agg(F.max("n").alias("_n")),
-        "winners",
-    )
-    hit = slim.join(
-        winners, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("_mark") == F.col("_m"))
-    )
-    once = hit.where("_n = 1").select(*slim.columns)
-    repeated = hit.where("_n > 1").dropDuplicates(["doc_id", "_mark"]).select(*slim.columns)
-    return once.unionByName(repeated)
+    first = common.stored(keys.groupBy("root").agg(F.min(order).alias("w")), "first")
+    wins = F.col("doc_id").eqNullSafe(F.col("w.i")) & (F.col("_mark") == F.col("w.m"))
+    told = keys.join(first, "root").select("doc_id", "_mark", "n", wins.alias("wins"))
+    odd = common.stored(told.where("n > 1 or not wins").select("doc_id", "_mark", "wins"), "odd")
+    looked = common.may_hold(slim, odd, "doc_id", "_mark")
+    plain = looked.where("not _may").select(*slim.columns)
+    named_odd = odd.select(F.col("doc_id").alias("_i"), F.col("_mark").alias("_m"), F.col("wins").alias("_wins"))
+    same = F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("_mark") == F.col("_m"))
+    met = looked.where("_may").join(named_odd, same, "left")
+    once = met.where("_wins is null").select(*slim.columns)
+    repeated = met.where("_wins").dropDuplicates(["doc_id", "_mark"]).select(*slim.columns)
+    return plain.unionByName(once).unionByName(repeated)
