@@ -10,8 +10,8 @@ exactly on the sets. Candidates for that check come from buckets:
 Texts with the same set of shingles form a class, and only classes go on. All classes of a bucket are
 compared with the first one, then with the first few that are not similar to it, and so on until each is
 a leader or similar to one. After each such round the links are joined to groups, and texts of one group are
-not compared any more, so a large group of near copies costs a few comparisons a text, not its square. From the
-second round on the sizes and 1 024 bits of each set are looked at first: they tell of almost all pairs of
+not compared any more, so a large group of near copies costs a few comparisons a text, not its square. The
+sizes and 1 024 bits of each set are looked at first: they tell of almost all pairs of
 texts of some hundred words that they differ too much, so texts that are similar to none, in a bucket of many, make no
 rows either. Neither the pairs of a bucket nor its members are ever gathered. Two texts that stay and share a
 bucket are different: their sets, sizes or bits were compared. Groups that hang together only by links between texts
@@ -167,6 +167,9 @@ def linked_roots(sets: DataFrame, members: DataFrame) -> DataFrame:
         pairs = met.select("u", "v").distinct()
         if checked:
             pairs = pairs.join(reduce(DataFrame.unionByName, checked).select("u", "v"), ["u", "v"], "left_anti")
+        else:
+            of_u, of_v = known.toDF("u", "n", "odd"), known.toDF("v", "m", "its")
+            pairs = pairs.join(of_u, "u").join(of_v, "v").where(_may_be_similar()).select("u", "v")
         checked.append(common.stored(_measured(common.stored(pairs, "pairs"), sets), "measured"))
         links = checked[-1].where("similar").select("u", "v")
         if not links.isEmpty():
