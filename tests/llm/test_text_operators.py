@@ -154,6 +154,31 @@ def test_risk_is_held_at_zero_and_separates():
     assert np.mean([z(d) > 0 for d in make(300, clean)]) < 0.05
 
 
+def test_training_sends_the_driver_only_what_has_a_weight(llm_spark, docs_of, monkeypatch):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices(string.ascii_lowercase, k=9))
+    toxic = {i for i in range(240) if i % 4 == 0}
+    texts = {i: " ".join([word() for _ in range(1500)] + ["vile"] * (i in toxic)) for i in range(240)}
+    texts[244] = texts[0]  # a copy counts once
+    labels = llm_spark.createDataFrame([(i, 1, int(i in toxic)) for i in range(240)], "doc_id bigint, quality int, toxic int")
+    docs, sent, collect = docs_of(texts.items()), [], type(labels).collect
+
+    def counted(frame):
+        rows = collect(frame)
+        sent.append(sum(len(x) * 4 if isinstance(x, (bytes, list)) else 8 for r in rows for x in r))
+        return rows
+
+    monkeypatch.setattr(type(labels), "collect", counted)
+    model = T.train(docs, labels)
+    assert sum(sent) < 10_000  # the features of the sample are more than 2 MB
+    learned = [i for i in range(240) if zlib.crc32(str(i).encode()) % 3 != 1]
+    made = {i: T.features(texts[i]) for i in learned}
+    known = [i for i in learned if i in toxic]
+    plain = T.fit([made[i] for i in known], list(made.values()), len(known) / len(learned))
+    assert zlib.crc32(b"vile") in model.hashes and model.hashes.tolist() == plain.hashes.tolist()
+    assert np.allclose([*model.weights, model.bias], [*plain.weights, plain.bias], rtol=0, atol=1e-9)
+
+
 def test_toxicity_of_odd_rows(llm_spark, edge_docs, no_docs):
     labels = llm_spark.createDataFrame(
         [(1, 1, 1), (1, 1, 0), (None, 1, 1), (2, None, None)], "doc_id bigint, quality int, toxic int"

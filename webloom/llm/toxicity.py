@@ -7,8 +7,9 @@ zero from below: where a step would push it under zero, the step undoes that ins
 
 The classifier is linear over the distinct words of a text and the stems they begin with, which
 carry over to forms of a word that were not seen. These have a weight if they are seen in at least ``LEAST_DOCS`` sampled documents and their shares among the positives and the unlabelled
-differ by at least ``SIGNIFICANT`` standard errors. It is fitted in numpy on the driver,
-on at most about POSITIVES + UNLABELLED documents (bounds on fitting only), and scores every row.
+differ by at least ``SIGNIFICANT`` standard errors. It is fitted on at most about POSITIVES + UNLABELLED
+documents (bounds on fitting only), and scores every row. Tasks take the sampled texts apart and Spark counts
+their features; the driver gets which of them have a weight and, of each text, only those, and fits in numpy.
 
 Defined cases: a null text is an empty one and gets the score of no words; labels that repeat for
 an id count as toxic if any is; a null label is no label; without a positive every score is 0.
@@ -92,12 +93,17 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -700, 700)))
 
 
+def _places(features: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Where in the sorted ``features`` those of ``own`` are that it holds."""
+    at = np.searchsorted(features, own)
+    return at[at < np.searchsorted(features, own, "right")]
+
+
 class _Rows:
     """Documents as index lists into the features, back to back."""
 
     def __init__(self, docs: list[np.ndarray], features: np.ndarray):
-        at = [np.searchsorted(features, d) for d in docs]
-        at = [i[(i < len(features)) & (features[np.minimum(i, len(features) - 1)] == d)] for i, d in zip(at, docs)]
+        at = [_places(features, d) for d in docs]
         self.size = np.array([len(i) for i in at], dtype=np.int64)
         self.row = np.repeat(np.arange(len(at)), self.size)
         self.index = np.concatenate(at) if at else np.zeros(0, np.int64)
@@ -112,23 +118,28 @@ class _Rows:
         return out
 
 
-def telling(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.ndarray:
-    """Hashes of the features whose shares of documents differ significantly between the two sets."""
-    hashes, docs = np.unique(np.concatenate([*positive, *unlabelled]), return_counts=True)
-    hashes, docs = hashes[docs >= LEAST_DOCS], docs[docs >= LEAST_DOCS]
-    own, counts = np.unique(np.concatenate(positive), return_counts=True)
-    at = np.searchsorted(own, hashes)
-    at[at == len(own)] = 0
-    inside = np.where(own[at] == hashes, counts[at], 0) if len(own) else np.zeros(len(hashes))
-    n, m = len(positive), len(unlabelled)
+def telling(inside: np.ndarray, docs: np.ndarray, n: int, m: int) -> np.ndarray:
+    """Which features are in significantly different shares of ``n`` positive and ``m`` unlabelled documents.
+
+    They are in ``docs`` of all these documents, ``inside`` of them positive.
+    """
     share = docs / (n + m)
     error = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n + 1 / m))
-    return hashes[np.abs(inside / n - (docs - inside) / m) >= SIGNIFICANT * error]
+    return (docs >= LEAST_DOCS) & (np.abs(inside / n - (docs - inside) / m) >= SIGNIFICANT * error)
+
+
+def _weighted(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.ndarray:
+    """Hashes of the telling features; the others of a document have no say in which they are."""
+    hashes, docs = np.unique(np.concatenate([*positive, *unlabelled]), return_counts=True)
+    own, counts = np.unique(np.concatenate(positive), return_counts=True)
+    inside = np.zeros(len(hashes), np.int64)
+    inside[np.searchsorted(hashes, own)] = counts
+    return hashes[telling(inside, docs, len(positive), len(unlabelled))]
 
 
 def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> Classifier:
     """Minimise the non-negative risk with the logistic loss by Adam steps over the whole sample."""
-    weighted = telling(positive, unlabelled) if positive and unlabelled else np.zeros(0, np.uint32)
+    weighted = _weighted(positive, unlabelled) if positive and unlabelled else np.zeros(0, np.uint32)
     if not len(weighted):
         return Classifier(weighted, np.zeros(0), -20.0)
     p, u = _Rows(positive, weighted), _Rows(unlabelled, weighted)
@@ -151,17 +162,47 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float)
     return Classifier(weighted, w[:-1], float(w[-1]))
 
 
-def _features(docs: DataFrame) -> list[np.ndarray]:
-    """Sorted word hashes of a bounded set of documents."""
+def _features(docs: DataFrame, positive: bool) -> DataFrame:
+    """(positive, f): the features of every text of a bounded set of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [features(t).tobytes() for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["f"])
+            found = [features(t).view("<i4") for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], names=["f"])
 
     # copies count once: they are no further evidence, and the sample stays bounded
     text = docs.select(F.col("text").cast("string")).distinct()
-    return [np.frombuffer(r.f, "<u4") for r in text.mapInArrow(run, "f binary").collect()]
+    return text.mapInArrow(run, "f array<int>").select(F.lit(positive).alias("positive"), "f")
+
+
+def _telling_hashes(sample: DataFrame, n: int, m: int) -> np.ndarray:
+    """The hashes that have a weight, counted by Spark over rows (positive, f)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, inside, docs = (c.to_numpy() for c in batch.columns)
+            yield batch.select(["h"]).filter(pa.array(telling(inside, docs, n, m)))
+
+    each = sample.select("positive", F.explode("f").alias("h")).groupBy("h")
+    counts = each.agg(F.count_if("positive").alias("inside"), F.count("*").alias("docs"))
+    found = counts.where(F.col("docs") >= LEAST_DOCS).mapInArrow(run, "h int").collect()
+    return np.sort(np.array([r.h for r in found], "<i4").view("<u4"))
+
+
+def _reduced(sample: DataFrame, weighted: np.ndarray) -> dict[bool, list[np.ndarray]]:
+    """What rows (positive, f) have of the ``weighted`` features, in an order of its own; equal rows travel once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [x.values.to_numpy().view("<u4") for x in batch.column(1)]
+            kept = [weighted[_places(weighted, f)].tobytes() for f in own]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary())], names=["positive", "f"])
+
+    rows = sample.select("positive", "f").mapInArrow(run, "positive boolean, f binary")
+    out: dict[bool, list[np.ndarray]] = {True: [], False: []}
+    for r in sorted(rows.groupBy("positive", "f").count().collect()):
+        out[r["positive"]] += [np.frombuffer(r["f"], "<u4")] * r["count"]
+    return out
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Classifier:
@@ -179,11 +220,15 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier:
     chosen = [r[0] for r in confirmed.collect()]
     few = docs.sparkSession.createDataFrame([(i,) for i in chosen], "_id bigint")
     positive = learned.join(F.broadcast(few), F.col("doc_id") == F.col("_id"), "left_semi")
-    return fit(
-        _features(common.sampled(positive, POSITIVES, "doc_id", "text")),
-        _features(common.sampled(learned, UNLABELLED, "doc_id", "text")),
-        prior,
+    sample = _features(common.sampled(positive, POSITIVES, "doc_id", "text"), True).unionByName(
+        _features(common.sampled(learned, UNLABELLED, "doc_id", "text"), False)
     )
+    sample = common.stored(sample, "toxicity-sample")
+    size = {r["positive"]: r["count"] for r in sample.groupBy("positive").count().collect()}
+    if len(size) < 2:
+        return fit([], [], prior)
+    rows = _reduced(sample, _telling_hashes(sample, size[True], size[False]))
+    return fit(rows[True], rows[False], prior)
 
 
 def scored(docs: DataFrame, model: Classifier, *keep: str) -> DataFrame:
